@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, decontam
 
 QUERIES = {
+    "op4_decontamination": decontam.query,
     "op6_chat_format": chat.query,
 }
 
 ORACLE = {
+    "op4_decontamination": decontam.ORACLE,
     "op6_chat_format": chat.ORACLE,
 }
