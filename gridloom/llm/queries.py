@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontam
+from . import chat, decontam, packing
 
 QUERIES = {
     "op4_decontamination": decontam.query,
     "op6_chat_format": chat.query,
+    "op8_best_fit_packing": packing.query,
 }
 
 ORACLE = {
