@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, packing
+from . import chat, decontam, langid, packing
 
 QUERIES = {
     "op4_decontamination": decontam.query,
     "op6_chat_format": chat.query,
+    "op7_language_id": langid.query,
     "op8_best_fit_packing": packing.query,
 }
 
