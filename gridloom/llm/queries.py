@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, langid, packing
+from . import chat, decontam, hmm, langid, packing
 
 QUERIES = {
+    "op2_hmm_score": hmm.query,
     "op4_decontamination": decontam.query,
     "op6_chat_format": chat.query,
     "op7_language_id": langid.query,
