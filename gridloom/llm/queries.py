@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hmm, langid, packing
+from . import chat, decontam, hmm, kneser, langid, packing
 
 QUERIES = {
     "op2_hmm_score": hmm.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_chat_format": chat.query,
     "op7_language_id": langid.query,
     "op8_best_fit_packing": packing.query,
+    "op9_quality_kneser_ney": kneser.query,
 }
 
 ORACLE = {
