@@ -25,23 +25,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import store
-from .words import SPACED, split
+from .words import SPACED, raw, split
 
 _CACHED = 1 << 20
 _encoders: dict[str, "_Encoder"] = {}
 
 
+#: Bytes between which the tokenizer's own rules always cut: ASCII letters and digits against ASCII
+#: signs, without those that contractions and special tokens are made of.
+_CUT = np.zeros(256, np.uint8)
+_CUT[0x30:0x3A] = _CUT[0x41:0x5B] = _CUT[0x61:0x7B] = 1
+_CUT[[ord(c) for c in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = 2
+
+
 class _Encoder:
-    """Ids of whole texts from ids of their white-space separated words, each encoded once.
+    """Ids of whole texts from ids of their smallest separable pieces, each encoded once.
 
-    The tokenizer drops white space and no rule of it reaches across, so a text's ids are those of
-    its words in order."""
+    The tokenizer drops white space, folds case and no rule of it reaches across the cuts, so a
+    text's ids are those of its pieces in order."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -49,25 +59,37 @@ class _Encoder:
         self.at = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each piece. Letters alone are one word to the tokenizer, whose
+        last token says so; they go through it as one text."""
+        ids = np.array(self.tok.encode(" ".join(pieces), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(self.last[ids])
+        if all(map(str.isalpha, pieces)) and len(ends) == len(pieces):
+            return ids, np.diff(np.concatenate([[0], ends + 1]))
+        got = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.fromiter((t for x in got for t in x), np.uint32), np.array([len(x) for x in got], np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the n + 1 offsets of the texts in them."""
-        w = split(texts, SPACED, fold=False)
+        special = b"<|" in raw(texts)[0].tobytes()  # special tokens are told apart by case
+        w = split(texts, SPACED, fold=not special, cut=_CUT)
         if len(self.slot) > _CACHED:
             self.clear()
         u, first, inv = np.unique(w.hashes(), return_index=True, return_inverse=True)
         slots = [self.slot.get(x, -1) for x in u.tolist()]
-        new = [i for i, s in enumerate(slots) if s < 0]
-        if new:
-            raw = w.buf.tobytes()
-            at = first[new]
-            got = self.tok.encode_batch_fast([raw[a:b].decode("utf-8", "replace") for a, b in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)], add_special_tokens=False)
-            ids = [e.ids for e in got]
-            base, n = len(self.at) - 1, np.array([len(x) for x in ids], np.int64)
-            for k, i in enumerate(new):
-                slots[i] = base + k
-                self.slot[int(u[i])] = base + k
-            self.ids = np.concatenate([self.ids, np.fromiter((t for x in ids for t in x), np.uint32, int(n.sum()))])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
+        new = np.array([i for i, s in enumerate(slots) if s < 0], np.int64)
+        if len(new):
+            buf = w.buf.tobytes()
+            text = [buf[a:b].decode("utf-8", "replace") for a, b in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist(), strict=True)]
+            alpha = np.array([t.isalpha() for t in text])
+            for part in (np.flatnonzero(alpha), np.flatnonzero(~alpha)):
+                if len(part):
+                    ids, n = self._new([text[k] for k in part])
+                    base = len(self.at) - 1
+                    for k, i in enumerate(new[part].tolist()):
+                        slots[i] = self.slot[int(u[i])] = base + k
+                    self.ids = np.concatenate([self.ids, ids])
+                    self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
         s = np.array(slots, np.int64)[inv] if len(u) else np.zeros(0, np.int64)
         n = self.at[s + 1] - self.at[s]
         end = np.zeros(len(s) + 1, np.int64)

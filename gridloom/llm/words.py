@@ -85,7 +85,9 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
-def split(texts: pa.Array, kind: np.ndarray, fold: bool = True) -> Words:
+def split(texts: pa.Array, kind: np.ndarray, fold: bool = True, cut: np.ndarray | None = None) -> Words:
+    """Words of every text; with ``cut`` (a class 0, 1 or 2 for each byte) also cut between bytes of
+    classes 1 and 2."""
     buf, off = raw(texts)
     n = len(off) - 1
     if fold:
@@ -100,11 +102,17 @@ def split(texts: pa.Array, kind: np.ndarray, fold: bool = True) -> Words:
     lead[0] = True
     np.logical_not(ok[:-1], out=lead[1:])
     lead |= first[:-1]
+    if cut is not None:
+        turn = cut[buf]
+        turn = turn[:-1] + turn[1:] == 3
+        lead[1:] |= turn
     lead &= ok
     tail = np.empty(len(buf), bool)
     tail[-1] = True
     np.logical_not(ok[1:], out=tail[:-1])
     tail |= first[1:]
+    if cut is not None:
+        tail[:-1] |= turn
     tail &= ok
     start, end = np.flatnonzero(lead), np.flatnonzero(tail) + 1
     return Words(buf, start, end, np.searchsorted(start, off), n)
