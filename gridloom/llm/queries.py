@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hmm, kneser, langid, packing
+from . import chat, decontam, hmm, kneser, langid, neardup, packing, partenum
 
 QUERIES = {
     "op2_hmm_score": hmm.query,
     "op4_decontamination": decontam.query,
+    "op5_ngram_jaccard": partenum.query,
     "op6_chat_format": chat.query,
     "op7_language_id": langid.query,
     "op8_best_fit_packing": packing.query,
     "op9_quality_kneser_ney": kneser.query,
+    "op10_embedding_neardup": neardup.query,
 }
 
 ORACLE = {
