@@ -46,10 +46,7 @@ class Bands:
         self.num, self.den = num, den
         low = [1]
         while low[-1] <= largest * den // num + 1:
-            v = low[-1] + 1
-            while -(-num * (v + 1) // den) >= low[-1]:  # ceil(t (v + 1)) still in the band before
-                v += 1
-            low.append(v if -(-num * v // den) >= low[-1] else low[-1] + 1)
+            low.append(max(low[-1] + 1, (low[-1] - 1) * den // num + 1))  # the least size whose partners end in the band before
         self.low = np.array(low, np.int64)
         top = self.low[1:] - 1
         self.k = (2 * top * (den - num)) // (den + num)
@@ -187,7 +184,7 @@ def _buckets(it):
 def _cross(num: int, den: int):
     """Pairs of different groups in a bucket that no bound rules out."""
 
-    def run(key, t: pa.Table) -> pa.Table:
+    def run(key, t):
         node, group, n = (t.column(c).to_numpy() for c in ("node", "component", "n"))
         order = np.argsort(n, kind="stable")
         node, group, n = node[order], group[order], n[order]
