@@ -1,8 +1,67 @@
-"""A corpus pipeline of operators from gridloom.llm (stages follow)."""
+"""From raw documents to packed training sequences: quality classifier, language ID, near-duplicate
+groups, benchmark decontamination, best-fit packing.
 
-STAGES: list = []
+A stage works on all that the one before kept. Rejected rows are joined away by id and text key; they
+are the smaller side, which the engine broadcasts if its size allows. Defined results: rows that share an id
+are judged by their own text; of a near-duplicate group and of rows that share an id one stays; rows
+without id stay unless their text is rejected.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridloom.llm import decontam, kneser, langid, packing, partenum, store
+
+#: No SQL: the classifier, the language model of stage 2 and the packing plan are fitted numerically.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, _key) is not among the rejected."""
+    d = docs.withColumn("_key", store.text_key("text")).alias("d")
+    r = rejected.select("doc_id", "_key").distinct().alias("r")
+    return d.join(r, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d._key") == F.col("r._key")), "left_anti").drop("_key")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    d = docs.withColumn("_key", store.text_key("text"))
+    return _without(docs, kneser.classify(d, kneser.trusted_ids(spark, sf_dir), keep=("_key",)).where("not kept"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.3) -> DataFrame:
+    """Texts without letters or without a language that stands out go."""
+    model = langid.fit(docs, ~langid.held_out("doc_id", 4))
+    out = langid.predict(docs.withColumn("_key", store.text_key("text")), model, keep=("doc_id", "_key"))
+    return _without(docs, out.where((F.col("lang_pred") == "und") | (F.col("score") < least)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = store.table(partenum.jaccard_groups(docs).select("doc_id", "component_id"), "groups")
+    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    firsts = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    repeated = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    one = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return firsts.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hit = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
+    return _without(docs, hit.withColumnRenamed("text_key", "_key"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("best_fit_packing", best_fit_packing)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = store.table(stage(spark, docs, sf_dir), name)
+    return docs

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hmm, kneser, langid, neardup, packing, partenum
+from . import chat, decontam, hmm, kneser, langid, neardup, packing, partenum, warc
 
 QUERIES = {
+    "op1_warc": warc.query,
     "op2_hmm_score": hmm.query,
     "op4_decontamination": decontam.query,
     "op5_ngram_jaccard": partenum.query,
