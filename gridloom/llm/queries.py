@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, hmm, kneser, langid, neardup, packing, partenum, warc
+from . import blocks, chat, decontam, hmm, kneser, langid, neardup, packing, partenum, warc
 
 QUERIES = {
     "op1_warc": warc.query,
     "op2_hmm_score": hmm.query,
+    "op3_html_extraction": blocks.query,
     "op4_decontamination": decontam.query,
     "op5_ngram_jaccard": partenum.query,
     "op6_chat_format": chat.query,
