@@ -1,17 +1,16 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by hyperplane buckets, all pairs of a bucket.
 
-Each pass signs every vector with 64 bits of random hyperplanes, sorts all vectors by that code and
-compares each with the ``window`` vectors after it; verified pairs of all passes are united (Charikar,
-"Similarity Estimation Techniques from Rounding Algorithms", STOC 2002). A pass is a range
-partitioning and a sort inside partitions; a task streams its rows and holds two blocks at a time.
+Each pass signs every vector with a few random hyperplanes (Charikar, "Similarity Estimation Techniques
+from Rounding Algorithms", STOC 2002) and compares all vectors that share the code; verified pairs of all
+passes are united. Bits and passes follow the row count (``plan``): a pair at the threshold's cosine shares
+a code in some pass with probability ``recall``, a closer pair with more; a bucket is about ``bucket``
+unrelated vectors at any size, and up to ``bucket`` vectors are one bucket, so all pairs. A bucket is whole:
+one of more than a tile is cut into tiles whose pairs are spread over tasks. Passes run in rounds, so
+that the shuffle of one round at a time is on disk.
 
-Equal vectors become one class first, so copies take no place in a window. What travels is an
-8-bit sketch with the exact norm of its residual: it bounds the cosine from both sides, and only pairs
-whose bounds leave the threshold open are compared on their own vectors in double precision.
-
-Recall is that of the passes (two vectors at cosine c share b leading bits with probability
-(1 - acos(c) / pi) ** b in each); pairs across two tasks of one pass are left to the other passes, which
-cut elsewhere. Precision is exact.
+Equal vectors become one class first. What travels is an 8-bit sketch with the exact norm of its
+residual: it bounds the cosine from both sides, and only pairs whose bounds leave the threshold open are
+compared on their own vectors in double precision. Precision is exact.
 
 Defined results: null, empty or zero vectors, those with null or non-finite components, and those of
 another length than the most common are linked with nothing; rows without id are left out; rows that
@@ -20,6 +19,8 @@ share an id and differ are each a vector of that id; repeated rows are one; an e
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +31,16 @@ from .components import components
 
 _HEAD = 8  # bytes of scale and residual norm before the components of a sketch
 _SLOP = 2e-5  # float32 rounding of a dot product of unit vectors
+_ROUND = 4  # passes on disk at a time
+_STRIP = 256  # rows of a block product
+_TILED = "a long, b long, sure boolean, k1 int, k2 long, tile int, ids binary, data binary"
+
+
+def plan(n: int, least: float, recall: float, bucket: int) -> tuple[int, int]:
+    """Bits of a code and passes for n vectors."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / bucket)))
+    same = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
+    return (bits, 1 if same == 1 else math.ceil(math.log(1 - recall) / math.log(1 - same))) if same > 0 else (0, 1)
 
 
 def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,50 +91,136 @@ def _sketch(dim: int):
     return run
 
 
-def _codes(dim: int, passes: int, seed: int):
+def _codes(dim: int, bits: int, passes: range, seed: int):
     def run(it):
-        planes = np.random.default_rng(seed).standard_normal((dim, 64 * passes)).astype(np.float32)
+        planes = [np.random.default_rng([seed, p]).standard_normal((dim, bits)).astype(np.float32) for p in passes]
         for b in it:
             if not b.num_rows:
                 continue
             x, _ = restored(b.column("sketch"), dim)
-            bits = np.packbits((x @ planes > 0).reshape(len(x), passes, 64), axis=2)
-            code = bits.reshape(-1, 8).view(">u8").astype(np.uint64).view(np.int64).reshape(len(x), passes) ^ np.int64(-(1 << 63))
-            take = np.tile(np.arange(len(x)), passes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(passes, dtype=np.int32), len(x))), pa.array(code.T.reshape(-1)), b.column("node").take(pa.array(take)), b.column("sketch").take(pa.array(take))], names=["pass", "code", "node", "sketch"])
+            for p, plane in zip(passes, planes, strict=True):
+                code = (x @ plane > 0).astype(np.int64) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), pa.array(code), b.column("node"), b.column("n"), b.column("sketch")], names=["k1", "k2", "node", "n", "data"])
 
     return run
 
 
-def _pairs(dim: int, window: int, least: float):
-    def emit(ids, x, r, ps, n):
-        """Pairs of the first n rows with the ``window`` rows after each."""
-        out = []
-        for i in range(0, n, window):
-            a, z = min(n, i + window), min(len(ids), i + 2 * window)
-            est = (x[i:a] @ x[i:z].T).astype(np.float64)
-            e = r[i:a, None] * (1 + r[None, i:z]) + r[None, i:z] * (1 + r[i:a, None]) + r[i:a, None] * r[None, i:z] + _SLOP
-            gap = np.arange(i, z)[None] - np.arange(i, a)[:, None]
-            k, m = np.nonzero((est + e >= least) & (gap > 0) & (gap <= window) & (ps[i:a, None] == ps[None, i:z]))
-            p, q = ids[i + k], ids[i + m]
-            out.append(np.stack([np.minimum(p, q), np.maximum(p, q), (est - e)[k, m] >= least], 1))
-        o = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(o[:, 0].astype(np.int64)), pa.array(o[:, 1].astype(np.int64)), pa.array(o[:, 2].astype(bool))], names=["a", "b", "sure"])
+def _found(a: np.ndarray, b: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), pa.array(sure.astype(bool))]
+    return pa.RecordBatch.from_arrays(cols, names=["a", "b", "sure"])
+
+
+def _tiles(solve, rows: int):
+    """Over rows (node, n, data) sorted by (k1, k2): what ``solve`` finds in groups of at most ``rows``
+    rows, and larger groups as numbered tiles."""
 
     def run(it):
-        held = None
+        key, ids, data, tile, out, size = None, [], [], 0, [], 0
+
+        def tiled(i, d):
+            cols = [[None], [None], [None], [key[0]], [key[1]], [tile], [i.tobytes()], [b"".join(d)]]
+            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=_NAMES)
+
+        def close():
+            if key is None:
+                return
+            i = np.concatenate(ids)
+            if tile:
+                yield tiled(i, data)
+            elif len(i) > 1:
+                out.extend(solve(i, data, i, data, True))
+
+        def flush():
+            a, b, sure = (np.concatenate(c) for c in zip(*out, strict=True))
+            out.clear()
+            n = len(a)
+            nulls = [pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())]
+            return pa.RecordBatch.from_arrays(_found(a, b, sure).columns + nulls, names=_NAMES)
+
         for b in it:
             if not b.num_rows:
                 continue
-            x, r = restored(b.column("sketch"), dim)
-            now = (b.column("node").to_numpy(), x, r, b.column("pass").to_numpy())
-            held = now if held is None else tuple(np.concatenate(c) for c in zip(held, now, strict=True))
-            n = len(held[0]) - window
-            if n > 0:
-                yield emit(*held, n)
-                held = tuple(c[n:] for c in held)
-        if held is not None:
-            yield emit(*held, len(held[0]))
+            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
+            own = np.stack([b.column("node").to_numpy(), b.column("n").to_numpy()], 1)
+            raw = b.column("data").to_pylist()
+            cuts = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1
+            for i, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k1)], strict=True):
+                if key != (int(k1[i]), int(k2[i])):
+                    yield from close()
+                    key, ids, data, tile, size = (int(k1[i]), int(k2[i])), [], [], 0, 0
+                ids.append(own[i:z])
+                data = data + raw[i:z] if data else raw[i:z]
+                size += z - i
+                while size > rows:
+                    whole = np.concatenate(ids)
+                    yield tiled(whole[:rows], data[:rows])
+                    ids, data, size, tile = [whole[rows:]], data[rows:], size - rows, tile + 1
+                if sum(len(o[0]) for o in out) > 100_000:
+                    yield flush()
+        yield from close()
+        if out:
+            yield flush()
+
+    return run
+
+
+_NAMES = ["a", "b", "sure", "k1", "k2", "tile", "ids", "data"]
+
+
+def _crossed(solve, width: int):
+    """What ``solve`` finds in pairs of tiles."""
+
+    def run(it):
+        for b in it:
+            for r in b.to_pylist():
+                i, j = (np.frombuffer(r[c], np.int64).reshape(-1, 2) for c in ("ids", "ids2"))
+                x, y = ([r[c][o : o + width] for o in range(0, len(r[c]), width)] for c in ("data", "data2"))
+                for o in solve(i, x, j, y, r["tile"] == r["tile2"]):
+                    yield _found(*o)
+
+    return run
+
+
+def _all_pairs(rows: DataFrame, solve, width: int, name: str) -> DataFrame:
+    """``solve`` over all pairs of rows (k1, k2, node, n, data) that share (k1, k2)."""
+    spark = rows.sparkSession
+    tile = max(_STRIP, min(4096, 1_000_000 // width))
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.repartitionByRange(parts, "k1", "k2").sortWithinPartitions("k1", "k2")
+    mixed = store.table(ordered.mapInArrow(_tiles(solve, tile), _TILED), name)
+    found, large = mixed.where("tile is null").select("a", "b", "sure"), mixed.where("tile is not null").drop("a", "b", "sure")
+    groups = large.groupBy("k1", "k2").agg(F.ceil(F.count("*") / 8).cast("int").alias("salts"))
+    dealt = large.join(groups, ["k1", "k2"])
+    left = dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    right = dealt.select("k1", "k2", (F.col("tile") % F.col("salts")).alias("salt"), F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
+    both = left.join(right, ["k1", "k2", "salt"]).where("tile <= tile2").select("tile", "tile2", "ids", "ids2", "data", "data2")
+    if large.limit(1).count():
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = spark.conf.get(key)
+        spark.conf.set(key, 16)  # a row is two tiles
+        try:
+            found = found.union(store.table(both.mapInArrow(_crossed(solve, width), "a long, b long, sure boolean"), name))
+        finally:
+            spark.conf.set(key, before)
+    return found
+
+
+def _pairs(dim: int, least: float):
+    """Pairs whose bounds reach the threshold, and whether they surely do."""
+
+    def run(i, x, j, y, same):
+        (u, r), (v, s) = restored(x, dim), restored(y, dim)
+        slack = r.max() + s.max() + 3 * r.max() * s.max() + 2 * _SLOP
+        for p in range(0, len(u), _STRIP):
+            q = p if same else 0
+            est = u[p : p + _STRIP] @ v[q:].T
+            k, m = np.nonzero(est >= least - slack)
+            est, k, m = est[k, m].astype(np.float64), k + p, m + q
+            e = r[k] * (1 + s[m]) + s[m] * (1 + r[k]) + r[k] * s[m] + _SLOP
+            keep = (est + e >= least) & ((k < m) | (not same))
+            a, b = i[k[keep], 0], j[m[keep], 0]
+            yield np.minimum(a, b), np.maximum(a, b), (est - e)[keep] >= least
 
     return run
 
@@ -138,7 +235,13 @@ def _exact(dim: int, least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, passes: int = 6, window: int = 32, seed: int = 5) -> DataFrame:
+def _own(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The vector of each class, taken from the row of its first id."""
+    c = classes.select("node", F.col("first").alias("id"), "h1", "h2")
+    return rows.where("raw is not null").withColumns({"h1": F.xxhash64("raw"), "h2": F.hash("raw")}).join(c, ["id", "h1", "h2"]).groupBy("node").agg(F.min("raw").alias("raw"))
+
+
+def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, recall: float = 0.99, bucket: int = 2048, seed: int = 5) -> DataFrame:
     """One row per distinct (id, vector): vec_id, n_links, component_id."""
     spark = vectors.sparkSession
     store.batches(spark, 4000)
@@ -148,24 +251,28 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
     rows = v.mapInArrow(_sketch(dim), "id long, sketch binary, raw binary")
     keyed = rows.select("id", "sketch", F.xxhash64("raw").alias("h1"), F.hash("raw").alias("h2"))
     members = store.table(keyed.groupBy("h1", "h2", "sketch", "id").agg(F.count("*").alias("k")).drop("k"), "members")
-    classes = members.where("sketch is not null").groupBy("h1", "h2", "sketch").agg(F.min("id").alias("node"), F.count("*").alias("n"))
-    classes = store.table(classes, "classes")
-    signed = classes.select("node", "sketch").mapInArrow(_codes(dim, passes, seed), "pass int, code long, node long, sketch binary")
-    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = signed.repartitionByRange(parts, "pass", "code", "node").sortWithinPartitions("pass", "code", "node")
-    found = ordered.mapInArrow(_pairs(dim, window, least), "a long, b long, sure boolean")
-    found = store.table(found.groupBy("a", "b").agg(F.max("sure").alias("sure")).where("a <> b"), "pairs")
+    classes = members.where("sketch is not null").groupBy("h1", "h2", "sketch").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    classes = store.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    bits, passes = plan(classes.count(), least, recall, bucket)
+    found = None
+    for p in range(0, passes, _ROUND):
+        signed = classes.select("node", "n", "sketch").mapInArrow(_codes(dim, bits, range(p, min(passes, p + _ROUND)), seed), "k1 int, k2 long, node long, n long, data binary")
+        some = _all_pairs(signed, _pairs(dim, least), dim + _HEAD, "pairs")
+        found = some if found is None else found.union(some)
+    found = store.table(found.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
     open_ = found.where("not sure").select("a", "b")
-    wanted = open_.select(F.col("a").alias("id")).union(open_.select(F.col("b").alias("id"))).distinct()
-    own = rows.where("raw is not null").join(wanted, "id").groupBy("id").agg(F.min("raw").alias("raw"))
+    wanted = open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct()
+    own = _own(rows, classes.join(wanted, "node"))
     own = store.table(own, "vectors")
-    both = open_.join(own.select(F.col("id").alias("a"), F.col("raw").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("raw").alias("y")), "b")
+    both = open_.join(own.select(F.col("node").alias("a"), F.col("raw").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("raw").alias("y")), "b")
     links = store.table(found.where("sure").select("a", "b").union(both.select("a", "b", "x", "y").mapInArrow(_exact(dim, least), "a long, b long")), "links")
 
-    size = classes.groupBy("node").agg(F.sum("n").alias("n"))
+    size = classes.select("node", "n")
     ways = links.union(links.select("b", "a")).toDF("node", "other")
     more = ways.join(size.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("n").alias("more"))
-    about = classes.join(more, "node", "left").join(components(links), "node", "left").select("h1", "h2", "sketch", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    grouped = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    about = grouped.join(more, "node", "left").join(names, "component").select("h1", "h2", "sketch", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
     # copies of one vector may be a third of all rows: both sides of the join are salted
     salts = 32
     salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))

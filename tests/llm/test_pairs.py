@@ -78,3 +78,32 @@ def test_sketch_bounds_the_residual(n):
     u = neardup.unit(np.random.default_rng(n).standard_normal((50, n)))
     x, r = neardup.restored([s.tobytes() for s in neardup.sketches(u)], n)
     assert (np.linalg.norm(u - x.astype(float), axis=1) <= r + 1e-6).all()
+
+
+def linked_pairs(n, pairs, dim=64, cosine=0.9001, seed=11):
+    """``n`` random vectors, to ``pairs`` of which another one at the given cosine is added."""
+    rng = np.random.default_rng(seed)
+    x = neardup.unit(rng.standard_normal((n, dim)))
+    y = rng.standard_normal((pairs, dim))
+    y = neardup.unit(y - (y * x[:pairs]).sum(1, keepdims=True) * x[:pairs])
+    return np.concatenate([x, cosine * x[:pairs] + np.sqrt(1 - cosine**2) * y]).astype(np.float32)
+
+
+def test_recall_at_the_threshold(spark):
+    x = linked_pairs(8000, 400)
+    u = neardup.unit(x.astype(float))
+    n = (u[:8000] @ u[8000:].T >= 0.9).sum()
+    assert n >= 400
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = neardup.near_duplicates(df).where("n_links > 0").collect()
+    assert sum(r.n_links for r in got) / 2 >= 0.97 * n
+    assert sum(r.component_id != r.vec_id for r in got) >= 0.97 * 400
+
+
+def test_passes_follow_the_row_count():
+    assert neardup.plan(2000, 0.9, 0.99, 2048) == (0, 1)
+    last = 0
+    for n in (5_000, 500_000, 50_000_000):
+        bits, passes = neardup.plan(n, 0.9, 0.99, 2048)
+        assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes >= 0.99 and passes > last
+        last = passes
