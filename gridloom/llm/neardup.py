@@ -10,7 +10,8 @@ that the shuffle of one round at a time is on disk.
 
 Equal vectors become one class first. What travels is an 8-bit sketch with the exact norm of its
 residual: it bounds the cosine from both sides, and only pairs whose bounds leave the threshold open are
-compared on their own vectors in double precision. Precision is exact.
+compared on their own vectors in double precision. Precision is exact. The passes only settle the
+components; ``n_links`` is then counted on all pairs of vectors of a component, in double precision.
 
 Defined results: null, empty or zero vectors, those with null or non-finite components, and those of
 another length than the most common are linked with nothing; rows without id are left out; rows that
@@ -206,12 +207,28 @@ def _all_pairs(rows: DataFrame, solve, width: int, name: str) -> DataFrame:
     return found
 
 
+def _united(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``group`` (per node a node of its group, never a later one) after the edges (a, b)."""
+    while len(a):
+        x, y = group[a], group[b]
+        group = group.copy()
+        np.minimum.at(group, np.maximum(x, y), np.minimum(x, y))
+        while (group[group] != group).any():
+            group = group[group]
+        apart = group[a] != group[b]
+        a, b = a[apart], b[apart]
+    return group
+
+
 def _pairs(dim: int, least: float):
-    """Pairs whose bounds reach the threshold, and whether they surely do."""
+    """Edges that connect what sure pairs connect, and the open pairs between what they do not."""
 
     def run(i, x, j, y, same):
         (u, r), (v, s) = restored(x, dim), restored(y, dim)
         slack = r.max() + s.max() + 3 * r.max() * s.max() + 2 * _SLOP
+        at = 0 if same else len(u)
+        ids = i[:, 0] if same else np.concatenate([i[:, 0], j[:, 0]])
+        group, left = np.arange(len(ids)), []
         for p in range(0, len(u), _STRIP):
             q = p if same else 0
             est = u[p : p + _STRIP] @ v[q:].T
@@ -219,8 +236,38 @@ def _pairs(dim: int, least: float):
             est, k, m = est[k, m].astype(np.float64), k + p, m + q
             e = r[k] * (1 + s[m]) + s[m] * (1 + r[k]) + r[k] * s[m] + _SLOP
             keep = (est + e >= least) & ((k < m) | (not same))
-            a, b = i[k[keep], 0], j[m[keep], 0]
-            yield np.minimum(a, b), np.maximum(a, b), (est - e)[keep] >= least
+            sure, k, m = (est - e)[keep] >= least, k[keep], m[keep] + at
+            if sure.any():
+                group = _united(group, k[sure], m[sure])
+            if not sure.all():
+                left.append(np.stack([k[~sure], m[~sure]]))
+        low = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(low, group, ids)
+        star = low[group] != ids
+        yield low[group][star], ids[star], np.ones(star.sum(), bool)
+        for k, m in left:
+            apart = group[k] != group[m]
+            a, b = ids[k[apart]], ids[m[apart]]
+            yield np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), bool)
+
+    return run
+
+
+def _counts(dim: int, least: float):
+    """Per vector the number of vectors linked to it."""
+
+    def run(i, x, j, y, same):
+        u, v = (unit(np.frombuffer(b"".join(c), np.float64).reshape(-1, dim)) for c in (x, y))
+        mine, other = np.zeros(len(u), np.int64), np.zeros(len(v), np.int64)
+        for p in range(0, len(u), _STRIP):
+            near = u[p : p + _STRIP] @ v.T >= least
+            if same:
+                near[np.arange(len(near)), np.arange(p, p + len(near))] = False
+            mine[p : p + _STRIP] = near @ j[:, 1]
+            other += i[p : p + _STRIP, 1] @ near
+        yield i[:, 0], mine, np.ones(len(u), bool)
+        if not same:
+            yield j[:, 0], other, np.ones(len(v), bool)
 
     return run
 
@@ -267,10 +314,11 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
     both = open_.join(own.select(F.col("node").alias("a"), F.col("raw").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("raw").alias("y")), "b")
     links = store.table(found.where("sure").select("a", "b").union(both.select("a", "b", "x", "y").mapInArrow(_exact(dim, least), "a long, b long")), "links")
 
-    size = classes.select("node", "n")
-    ways = links.union(links.select("b", "a")).toDF("node", "other")
-    more = ways.join(size.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("n").alias("more"))
     grouped = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    grouped = store.table(grouped, "groups")
+    several = grouped.join(grouped.groupBy("component").count().where("count > 1").select("component"), "component")
+    inside = several.join(_own(rows, several), "node").select(F.lit(0).alias("k1"), F.col("component").alias("k2"), "node", "n", F.col("raw").alias("data"))
+    more = _all_pairs(inside, _counts(dim, least), 8 * dim, "counts").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("more"))
     names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     about = grouped.join(more, "node", "left").join(names, "component").select("h1", "h2", "sketch", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
     # copies of one vector may be a third of all rows: both sides of the join are salted

@@ -107,3 +107,14 @@ def test_passes_follow_the_row_count():
         bits, passes = neardup.plan(n, 0.9, 0.99, 2048)
         assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes >= 0.99 and passes > last
         last = passes
+
+
+def test_links_of_a_large_group_are_counted(spark):
+    rng = np.random.default_rng(12)
+    x = (rng.standard_normal(64) + 0.3 * rng.standard_normal((2600, 64))).astype(np.float32)
+    u = neardup.unit(x.astype(float))
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    assert 500 < want.mean() < 2500 and components_of(range(2600), zip(*np.nonzero(np.triu(u @ u.T >= 0.9, 1)), strict=True)) == dict.fromkeys(range(2600), 0)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: (n, 0) for i, n in enumerate(want.tolist())}
