@@ -97,3 +97,14 @@ def test_trusted_texts_are_kept(spark):
     got = kneser.query(spark, SMALL).join(good, "doc_id").where("n_bytes > 0")
     n, kept = got.count(), got.where("kept").count()
     assert n and kept / n > 0.99
+
+
+def test_small_classes_take_the_bounds_of_their_language(spark):
+    rng = np.random.default_rng(8)
+    plain = lambda n: " ".join(rng.choice(["stone", "river", "garden", "winter"], n))
+    noise = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 200))
+    rows = [("aa", plain(30)) for _ in range(150)] + [("aa", plain(6)) for _ in range(10)] + [("bb", noise()) for _ in range(150)] + [("aa", noise()[:50])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    got = {r.doc_id: r for r in kneser.classify(df, df.where("doc_id < 310").select("doc_id")).collect()}
+    assert max(got[i].high for i in range(150, 160)) < min(got[i].perplexity for i in range(160, 310))
+    assert all(got[i].kept for i in range(160)) and not got[310].kept
