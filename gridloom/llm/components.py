@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 from . import store
 
 
+def _onto_least(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """Rows (u, v) with the m of their u; rows of one u are salted and ``low`` is copied for each salt in use."""
+    copied = low.select("u", "m", F.explode(store.salts("used")).alias("salt"))
+    return rows.withColumn("salt", store.salt("v")).join(copied, ["u", "salt"]).select(F.col("v").alias("a"), F.col("m").alias("b"))
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over undirected edges (a > b)."""
+    rows = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if large:
+        rows = rows.union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    low = rows.groupBy("u").agg(F.min("v").alias("m"), store.salts_used(store.salt("v")).alias("used"))
     if large:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        out = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        out = _onto_least(rows.where("v > u"), low.withColumn("m", F.least("m", "u")))
     else:
-        one = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        low = one.groupBy("u").agg(F.min("v").alias("m"))
-        out = one.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        out = _onto_least(rows, low).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.where("a > b").distinct()
 
 

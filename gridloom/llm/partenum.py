@@ -12,9 +12,16 @@ more emit them. If neither set of a similar pair is of the second kind, or just
 
 Exact copies are one set from the start. Signatures travel in packed runs, are sorted with numpy and
 only those of two sets or more stay. Each bucket is first compared with its smallest member;
-buckets that still hold sets of different groups are then compared in full, block by block, against
-exact lower bounds of the difference, and what passes is verified on whole sets. So groups are exact
-while the pairs inside them are never enumerated.
+buckets that still hold sets of different groups are then compared in full, in blocks of bounded size,
+on parity sketches: bit h mod m of a sketch is the parity of the set's elements there, so the bits in which
+two sketches differ are never more than the elements in which the sets differ. Of the pairs that this
+lower bound leaves, only the closest of each pair of groups are verified on whole sets; where more
+were left, a round with more of them follows after the groups that met are united. So groups are
+exact while the pairs inside them are never enumerated. Sets are compared as 64-bit hashes of shingles.
+
+Keys that may hold a large share of all rows (a set's copies, a bucket, a set with many partners) are
+salted: a bit mask of the salts in use, summed up before the shuffle, tells how often the other side
+of a join is copied, so a rare key is not copied at all.
 
 Defined results: null text has no words and is linked with nothing; rows that share an id share a
 group; a row without id gets the group of its exact copies; repeated rows are kept; an empty table
@@ -33,10 +40,12 @@ from pyspark.sql import functions as F
 from . import store
 from .components import components
 from .decontam import bit_table
-from .words import SPACED, mix, sequence_hash, shingles, split
+from .words import SPACED, mix, raw, sequence_hash, shingles, split
 
-CELLS = 64
-ROWS = 2_000_000  # signature rows of one partition, and of one flush
+ROWS = 1_200_000  # signature rows of one partition, and of one flush
+BLOCK = 1024  # rows of a bucket that are compared with each other at a time
+PARTNERS = 64  # verified partners of one set in one run of rows
+_LEVELS = 64 << np.arange(9)  # bits of a sketch
 
 
 class Bands:
@@ -79,8 +88,52 @@ def _sums(cell: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
     return low + (high << np.uint64(32))
 
 
+def sketch_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of the sketch of a set of n elements: four an element, as a power of two within bounds."""
+    return _LEVELS[np.minimum(np.searchsorted(_LEVELS, 4 * n), len(_LEVELS) - 1)]
+
+
+def sketches(h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity sketches of sets (concatenated in ``h``, sizes ``n``)."""
+    bits = sketch_bits(n)
+    at = np.concatenate([[0], np.cumsum(bits)])
+    place = np.repeat(at[:-1], n) + (h & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=at[-1]) & 1).astype(np.uint8)
+    data = np.packbits(odd, bitorder="little").tobytes()
+    return [data[a:b] for a, b in zip((at[:-1] // 8).tolist(), (at[1:] // 8).tolist(), strict=True)]
+
+
+class Sketches:
+    """Sketches of many sets, compared in pairs; a longer one is folded to the shorter one's length."""
+
+    def __init__(self, column: pa.Array):
+        buf, off = raw(column)
+        self.flat, self.start = np.frombuffer(buf.tobytes(), np.uint64), off[:-1] // 8
+        self.words = np.diff(off) // 8
+
+    def _matrix(self, rows: np.ndarray, w: int) -> np.ndarray:
+        out = np.zeros((len(rows), w), np.uint64)
+        of = self.words[rows]
+        for long in np.unique(of):
+            mine = np.flatnonzero(of == long)
+            out[mine] = np.bitwise_xor.reduce(self.flat[self.start[rows[mine], None] + np.arange(long)].reshape(len(mine), -1, w), axis=1)
+        return out
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """A lower bound of the difference of the sets x and y, pair by pair."""
+        w, out = np.minimum(self.words[x], self.words[y]), np.zeros(len(x), np.int64)
+        for short in np.unique(w):
+            mine = np.flatnonzero(w == short)
+            rows, place = np.unique(np.concatenate([x[mine], y[mine]]), return_inverse=True)
+            m, (i, j) = self._matrix(rows, int(short)), place.reshape(2, -1)
+            step = max(1, (1 << 19) // int(short))
+            for a in range(0, len(mine), step):
+                out[mine[a : a + step]] = np.bitwise_count(m[i[a : a + step]] ^ m[j[a : a + step]]).sum(1, dtype=np.int64)
+        return out
+
+
 def _profile(k: int):
-    """Size, identity and cell counts of each set."""
+    """Size, identity and sketch of each set."""
 
     def run(it):
         for b in it:
@@ -88,8 +141,7 @@ def _profile(k: int):
             n = np.diff(at)
             doc = np.repeat(np.arange(len(n)), n)
             s1, s2 = _sums(doc, h, len(n)), _sums(doc, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), len(n))
-            cells = np.bincount(doc * CELLS + (h >> np.uint64(58)).astype(np.int64), minlength=len(n) * CELLS).astype(np.uint8).reshape(-1, CELLS)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array([c.tobytes() for c in cells], pa.binary(CELLS)).cast(pa.binary())], names=["doc_id", "n", "s1", "s2", "cells"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(sketches(h, n), pa.binary())], names=["doc_id", "n", "s1", "s2", "sketch"])
 
     return run
 
@@ -181,48 +233,91 @@ def _buckets(it):
         yield pa.RecordBatch.from_arrays([pa.array(bucket[more]), pa.array(node[more]), pa.array(node[head[run]][more])], names=["bucket", "node", "pivot"])
 
 
-def _cross(num: int, den: int):
-    """Pairs of different groups in a bucket that no bound rules out."""
-
-    def run(key, t):
-        node, group, n = (t.column(c).to_numpy() for c in ("node", "component", "n"))
-        order = np.argsort(n, kind="stable")
-        node, group, n = node[order], group[order], n[order]
-        cells = np.frombuffer(b"".join(t.column("cells").take(pa.array(order)).to_pylist()), np.uint8).reshape(-1, CELLS)
-        out = []
-        for i in range(0, len(n), 64):
-            hi = int(np.searchsorted(n, n[min(i + 63, len(n) - 1)] * den // num, side="right"))
-            for j in range(i, hi, 1024):
-                a, b = slice(i, min(i + 64, len(n))), slice(j, min(j + 1024, hi))
-                d = np.abs(cells[a, None, :].astype(np.int16) - cells[None, b, :].astype(np.int16))
-                low = np.minimum(d, 256 - d).sum(2)
-                ok = (low * (den + num) <= (n[a, None] + n[None, b]) * (den - num)) & (group[a, None] != group[None, b])
-                x, y = np.nonzero(ok)
-                out.append(np.stack([node[a][x], node[b][y]]))
-        pairs = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        pairs = np.unique(np.sort(pairs, 0), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+_PAIR = "a long, b long"
+
+
+def _near(dist: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these sizes that differ in ``dist`` elements can be similar enough."""
+    return (np.minimum(nx, ny) * den >= np.maximum(nx, ny) * num) & (dist * (den + num) <= (nx + ny) * (den - num))
+
+
+def _cross(num: int, den: int, most: int):
+    """Over rows sorted by (bucket, i, j, side, component), one (bucket, i, j) whole at a time: of the pairs
+    of different groups that the lower bound leaves, the ``most`` closest of each two groups; a row with
+    ``again`` names a bucket of others. Within a block (i = j) all rows meet, else those of side 0 meet those of side 1."""
+
+    def block(t: pa.Table):
+        key = np.stack([t.column(c).to_numpy() for c in ("bucket", "i", "j")])
+        node, group, n, side = (t.column(c).to_numpy() for c in ("node", "component", "n", "side"))
+        sketch = Sketches(t.column("sketch").combine_chunks())
+        head = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
+        run = np.searchsorted(head, np.arange(len(node)), side="right") - 1
+        stop = np.append(head[1:], len(node))[run]
+        part = np.concatenate([[True], (run[1:] != run[:-1]) | (side[1:] != side[:-1]) | (group[1:] != group[:-1])])
+        cuts = np.append(np.flatnonzero(part), len(node))
+        begin = cuts[np.cumsum(part)]  # in a block a row meets those after its group
+        other = np.append(head[1:], len(node)) - np.bincount(run, side == 1, len(head)).astype(np.int64)
+        begin = np.where(key[1] == key[2], begin, np.where(side == 0, other[run], stop))
+        count = stop - begin
+        ends = np.cumsum(count)
+        found, a = [], 0
+        while a < len(node):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 1_000_000, side="right")))
+            x = np.repeat(np.arange(a, b), count[a:b])
+            y = np.arange(len(x)) - np.repeat(ends[a:b] - count[a:b] - (ends[a - 1] if a else 0), count[a:b]) + begin[x]
+            keep = (group[x] != group[y]) & _near(np.zeros(len(x), np.int64), n[x], n[y], num, den)
+            x, y = x[keep], y[keep]
+            d = sketch.apart(x, y)
+            keep = _near(d, n[x], n[y], num, den)
+            found.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), np.minimum(group[x], group[y]), np.maximum(group[x], group[y]), key[0][x], d])[:, keep])
+            a = b
+        a, b, g, h, at, d = np.concatenate(found, 1)
+        order = np.lexsort((b, a, d, h, g))
+        a, b, g, h, at = a[order], b[order], g[order], h[order], at[order]
+        once = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
+        a, b, g, h, at = a[once], b[once], g[once], h[once], at[once]
+        fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (h[1:] != h[:-1])])[: len(a)]
+        rank = np.arange(len(a)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+        again = np.unique(at[rank >= most])
+        a, b = a[rank < most], b[rank < most]
+        none, rest = np.zeros(len(a), bool), np.ones(len(again), bool)
+        column = lambda v, w: pa.array(np.concatenate([v, np.zeros(len(again), np.int64)]) if w else np.concatenate([np.zeros(len(a), np.int64), v]), mask=np.concatenate([none, rest] if w else [~none, ~rest]))
+        return pa.RecordBatch.from_arrays([column(a, True), column(b, True), column(again, False)], names=["a", "b", "again"])
+
+    def run(it):
+        held, rows = [], 0
+        for b in it:
+            held.append(b)
+            rows += b.num_rows
+            if rows >= 4 * BLOCK:
+                t = pa.Table.from_batches(held).combine_chunks()
+                last = np.flatnonzero(np.logical_or.reduce([t.column(c).to_numpy() != t.column(c)[-1].as_py() for c in ("bucket", "i", "j")]))
+                whole = int(last[-1]) + 1 if len(last) else 0
+                if whole:
+                    yield block(t.slice(0, whole))
+                held, rows = t.slice(whole).to_batches(), t.num_rows - whole
+        if rows:
+            yield block(pa.Table.from_batches(held))
 
     return run
 
 
 def _plausible(pairs: DataFrame, profile: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes and cell counts allow the similarity."""
-    p = pairs.join(profile.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca")), "a")
-    p = p.join(profile.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb")), "b")
+    """Pairs whose sizes and sketches allow the similarity."""
+    p = pairs.join(profile.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
+    p = p.join(profile.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
     p = p.where((F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
 
     def run(it):
         for b in it:
-            if not b.num_rows:
+            m = b.num_rows
+            if not m:
                 continue
-            ca, cb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in ("ca", "cb"))
-            d = np.abs(ca - cb)
-            low = np.minimum(d, 256 - d).sum(1)
-            ok = low * (den + num) <= (b.column("na").to_numpy() + b.column("nb").to_numpy()) * (den - num)
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("a", "b")], names=["a", "b"])
+            d = Sketches(pa.concat_arrays([b.column("sa"), b.column("sb")])).apart(np.arange(m), np.arange(m) + m)
+            ok = pa.array(_near(d, b.column("na").to_numpy(), b.column("nb").to_numpy(), num, den))
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
 
-    return p.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(run, "a long, b long")
+    return p.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, _PAIR)
 
 
 def _sets(k: int, wanted):
@@ -239,18 +334,18 @@ def _sets(k: int, wanted):
 
 
 def _verified(num: int, den: int):
-    """Streams rows sorted by a; the row with null b brings a's own set."""
+    """Streams rows sorted by (a, salt); the row with null b brings a's own set."""
 
     def run(it):
         key = own = None
         for b in it:
-            a, other, data = b.column("a").to_pylist(), b.column("b").to_pylist(), b.column("set")
+            a, salt, other, data = b.column("a").to_pylist(), b.column("salt").to_pylist(), b.column("b").to_pylist(), b.column("set")
             out = []
             for i, (x, y) in enumerate(zip(a, other, strict=True)):
                 s = np.frombuffer(data[i].as_buffer(), np.uint64)
                 if y is None:
-                    key, own = x, s
-                elif key == x:
+                    key, own = (x, salt[i]), s
+                elif key == (x, salt[i]):
                     both = len(np.intersect1d(own, s, assume_unique=True))
                     if den * both >= num * (len(own) + len(s) - both):
                         out.append((x, y))
@@ -260,49 +355,75 @@ def _verified(num: int, den: int):
 
 
 def _verify(pairs: DataFrame, rows: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
-    """The pairs (a, b) that are similar, by whole sets, read only for documents in a pair."""
-    spark = pairs.sparkSession
-    pairs = store.table(pairs, "pairs")
+    """The pairs (a, b) that are similar, by whole sets, read only for documents in a pair. A set with many
+    partners is copied, so that no more than about PARTNERS of them follow it."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = spark.sparkContext.broadcast(bit_table(nodes.select(F.xxhash64("node").alias("h")).distinct(), "h"))
+    wanted = store.share(pairs.sparkSession, bit_table(nodes.select(F.xxhash64("node").alias("h")).distinct(), "h"))
     found = store.table(rows.mapInArrow(_sets(k, wanted), "node long, set binary").join(nodes, "node", "left_semi"), "sets")
-    own = found.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "set")
-    other = pairs.join(found.withColumnRenamed("node", "b"), "b").select("a", "b", "set")
-    both = own.union(other).repartition(parts, "a").sortWithinPartitions(F.col("a"), F.col("b").asc_nulls_first())
-    out = store.table(both.mapInArrow(_verified(num, den), "a long, b long"), "links")
+    store.unshare(wanted)
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("salts"))
+    own = found.join(many.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "set")
+    dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
+    other = dealt.join(found.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "set")
+    both = own.union(other).repartition(parts, "a", "salt").sortWithinPartitions(F.col("a"), F.col("salt"), F.col("b").asc_nulls_first())
+    out = store.table(both.mapInArrow(_verified(num, den), _PAIR), "links")
     store.drop(found)
     return out
 
 
-def jaccard_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+def _mixed(buckets: DataFrame, groups: DataFrame, profile: DataFrame) -> DataFrame:
+    """Rows of buckets that hold different groups, dealt to pairs of blocks of a bucket."""
+    label = buckets.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    label = label.withColumn("salt", store.salt("node"))
+    mixed = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), store.salts_used("salt").alias("used")).where("lo <> hi and size > 2")
+    mixed = mixed.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.explode(store.salts("used")).alias("salt"))
+    rows = label.join(mixed, ["bucket", "salt"]).join(profile, "node")
+    rows = rows.withColumn("own", F.pmod(F.hash("node"), F.col("blocks"))).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select("bucket", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"), (F.col("own") > F.col("met")).cast("int").alias("side"), "component", "node", "n", "sketch")
+
+
+def jaccard_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = 5, similarity: tuple[int, int] = (80, 100), closest: int = 4) -> DataFrame:
     """One row per document row: doc_id, n_shingles, class_id (smallest id with the same set; null
-    without words), component_id (smallest id reachable by links)."""
+    without words), component_id (smallest id reachable by links). ``closest`` pairs of two groups are
+    verified in the first round, 16 times as many in each further one, over the buckets that still hold
+    others, until none is left."""
     spark = docs.sparkSession
     store.batches(spark)
     num, den = similarity
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    base = store.table(d.mapInArrow(_profile(k), "doc_id long, n long, s1 long, s2 long, cells binary"), "profiles")
-    classes = store.table(base.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("cells").alias("cells")), "classes")
-    profile = classes.where("node is not null").select("node", "n", "cells")
+    base = store.table(d.mapInArrow(_profile(k), "doc_id long, n long, s1 long, s2 long, sketch binary"), "profiles")
+    salted = base.withColumn("salt", store.salt("doc_id"))
+    classes = salted.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), store.salts_used("salt").alias("used"))
+    classes = store.table(classes, "classes")
+    profile = classes.where("node is not null").select("node", "n", "sketch")
     largest, total = base.agg(F.max("n"), F.sum("n")).first()
     bands = Bands(num, den, largest or 1)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(0.9 * (total or 0) / ROWS))
     rows = d.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("place"))
-    reps = spark.sparkContext.broadcast(bit_table(profile.select(F.xxhash64("node").alias("h")).distinct(), "h"))
+    reps = store.share(spark, bit_table(profile.select(F.xxhash64("node").alias("h")).distinct(), "h"))
     packed = rows.mapInArrow(_packed(k, bands, parts, reps), "p int, sig binary, node binary")
     buckets = store.table(packed.repartition(parts, "p").mapInArrow(_buckets, "bucket long, node long, pivot long"), "buckets")
+    store.unshare(reps)
 
     star = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verify(_plausible(star, profile, num, den), rows, k, num, den, parts)
-    groups = components(links)
-    label = buckets.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    mixed = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("bucket")
-    open_ = label.join(mixed, "bucket", "left_semi").join(profile, "node").select("bucket", "node", "component", "n", "cells")
-    cross = open_.groupBy("bucket").applyInArrow(_cross(num, den), "a long, b long").distinct()
-    more = _verify(cross, rows, k, num, den, parts)
-    groups = components(links.union(more))
+    tried = store.table(_plausible(star, profile, num, den), "pairs")
+    links = _verify(tried, rows, k, num, den, parts)
+    groups, open_ = components(links), buckets
+    while open_ is not None:
+        dealt = _mixed(open_, groups, profile).repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "component")
+        cross = store.table(dealt.mapInArrow(_cross(num, den, closest), f"{_PAIR}, again long"), "cross")
+        again = cross.where("again is not null").select(F.col("again").alias("bucket")).distinct()
+        open_ = store.table(buckets.join(again, "bucket", "left_semi"), "buckets") if again.take(1) else None
+        fresh = store.table(cross.where("again is null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        if fresh.take(1):
+            more = _verify(fresh, rows, k, num, den, parts)
+            links, tried = links.union(more), tried.union(fresh)
+            groups = components(links) if more.take(1) else groups
+        closest *= 16
+    store.drop(buckets)
+    named = classes.join(groups, "node", "left").select("s1", "s2", "node", "component", F.explode(store.salts("used")).alias("salt"))
     return (
-        base.join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left").join(groups, "node", "left")
+        salted.join(named, ["s1", "s2", "salt"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("class_id"), F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
+_shared: list = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,6 +66,46 @@ def _remove_all() -> None:
             return
 
 
+_SALTS = 16
+
+
+def salt(c: Column | str) -> Column:
+    """A number under 16 by which rows of one key are spread."""
+    return F.pmod(F.xxhash64(c, F.lit(0x5A17)), F.lit(_SALTS)).cast("int")
+
+
+def salts_used(c: Column | str) -> Column:
+    """Aggregate: a bit for each salt of a key."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), F.col(c) if isinstance(c, str) else c))
+
+
+def salts(used: str) -> Column:
+    """The salts of ``salts_used``, to copy the other side of a join for each."""
+    return F.expr(f"filter(sequence(0, {_SALTS - 1}), i -> (shiftright({used}, i) & 1) = 1)")
+
+
+def share(spark: SparkSession, value):
+    """Broadcast of a value of bounded size; ``unshare`` or the end of a ``scope`` takes it away again."""
+    b = spark.sparkContext.broadcast(value)
+    _shared.append(b)
+    return b
+
+
+def unshare(b) -> None:
+    """Remove a broadcast that no plan still to run reads."""
+    _shared.remove(b)
+    b.destroy()
+
+
+@contextmanager
+def scope():
+    """Broadcasts made inside are removed at its end: all that reads them must have been written by then."""
+    before = len(_shared)
+    yield
+    for b in _shared[before:]:
+        unshare(b)
+
+
 def batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound what one Arrow batch of whole texts holds; the session's own smaller setting stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

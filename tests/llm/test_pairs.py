@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
@@ -53,14 +54,17 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
-def test_jaccard_against_brute_force(spark):
+@pytest.mark.parametrize("block, partners, closest", [(1024, 64, 4), (5, 2, 1)])
+def test_jaccard_against_brute_force(spark, monkeypatch, block, partners, closest):
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    monkeypatch.setattr(partenum, "PARTNERS", partners)
     rng = np.random.default_rng(4)
     rows = [(900, None), (901, ""), (902, " \t"), (903, "One two"), (904, "one TWO"), (905, "a " * 3000), (906, "a " * 3001)]
     for c in range(25):
         base = list(rng.integers(0, 60, rng.integers(3, 150)))
-        for _ in range(1 + c % 7):
+        for _ in range(1 + c % 7 if c else 40):
             t = [int(x) for x in base]
-            for _ in range(rng.integers(0, 4)):
+            for _ in range(rng.integers(0, 4 if c else 9)):
                 t[rng.integers(0, len(t))] = 99
             rows.append((len(rows), " ".join(f"w{x}" for x in t)))
     rows += [(i + 2000, t) for i, t in rows[7:20]]
@@ -68,11 +72,22 @@ def test_jaccard_against_brute_force(spark):
     s = {i: shingles(t) for i, t in rows}
     links = [(a, b) for a in s for b in s if a < b and s[a] and s[b] and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b])]
     want = components_of(list(s), links)
-    got = partenum.jaccard_groups(df).collect()
+    got = partenum.jaccard_groups(df, closest=closest).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s[i]), want[i]) for i in s}
     assert partenum.jaccard_groups(df.limit(0)).count() == 0
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 63, 12_000, dtype=np.uint64)
+    own = [rng.choice(pool, n, replace=False) for n in (1, 3, 15, 16, 17, 90, 130, 4000, 9000)]
+    s = partenum.Sketches(pa.array(partenum.sketches(np.concatenate(own), np.array([len(x) for x in own])), pa.binary()))
+    x, y = (i.ravel() for i in np.indices((len(own), len(own))))
+    apart = np.array([len(np.setxor1d(own[i], own[j])) for i, j in zip(x, y, strict=True)])
+    like = np.array([0.5 < len(own[i]) / len(own[j]) < 2 for i, j in zip(x, y, strict=True)])
+    assert (s.apart(x, y) <= apart).all() and (s.apart(x, y)[like] >= 0.5 * apart[like]).all()
+
+
 @pytest.mark.parametrize("n", [1, 7])
 def test_sketch_bounds_the_residual(n):
     u = neardup.unit(np.random.default_rng(n).standard_normal((50, n)))
