@@ -347,7 +347,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     """One row per page: page_id, url, text, n_chars."""
     spark = pages.sparkSession
     store.batches(spark, 500)
-    shared = spark.sparkContext.broadcast(model or trained())
+    shared = store.share(spark, model or trained())
     p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"))
     return p.mapInArrow(_extract(shared), "page_id long, url string, text string, n_chars long")
 

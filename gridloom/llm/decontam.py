@@ -123,7 +123,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     tokens = wins.select(F.explode("tokens").alias("token")).distinct()
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), store.text_key(text).alias("text_key"), F.col(text).alias("text"))
 
-    table = spark.sparkContext.broadcast(bit_table(tokens, "token"))
+    table = store.share(spark, bit_table(tokens, "token"))
     seen = d.select("text").mapInArrow(_count(sizes, table), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rare = tokens.join(seen, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
     whole = wins.groupBy("window_id", "words").agg(F.first("tokens").alias("tokens"))
@@ -132,9 +132,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     need = F.ceil(F.lit(containment) * F.col("S") - 1e-9)
     prefix = ranked.select("window_id", "words", "S", F.explode(F.slice("r", 1, F.greatest(F.lit(1), (F.col("S") - need + 1).cast("int")))).alias("r")).select("window_id", "words", "S", F.col("r.token").alias("token"), F.col("r.off").alias("off"))
     prefix = store.table(prefix, "prefix")
+    store.unshare(table)
 
-    table = spark.sparkContext.broadcast(bit_table(prefix.select("token").distinct(), "token"))
+    table = store.share(spark, bit_table(prefix.select("token").distinct(), "token"))
     probed = store.table(d.mapInArrow(_probe(sizes, window, table), _PROBED), "probed")
+    store.unshare(table)
     found = probed.where(F.size("found") > 0).select("doc_id", "text_key", "n_words", F.explode("found").alias("f")).select("doc_id", "text_key", "n_words", "f.*")
     start, length = F.col("pos") - F.col("off"), F.size("words")
     inside = (length <= F.col("n_words")) & (start >= 0) & (start + length <= F.col("n_words"))

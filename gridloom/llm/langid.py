@@ -3,12 +3,12 @@
 n-grams run over the UTF-8 bytes of the text (A-Z folded), are hashed to a fixed number of features
 and weighted by term frequency times inverse document frequency; document frequencies cover all
 rows to learn from. Weights are trained with follow-the-regularised-leader (McMahan et al., 2013)
-under an elastic-net penalty on a sample of at most ``fit_rows`` labelled rows, a fifth of which is
-held back to fit the softmax temperature.
+under an elastic-net penalty on a sample of about ``fit_rows`` labelled rows and ``fit_bytes`` bytes, a
+fifth of which is held back to fit the softmax temperature. One task fits; the driver gets the weights.
 
 Defined results: null text or a text without letters is ``und`` with score 0; so is every text where
 nothing could be learnt; null languages are not learnt; repeated rows count each; an empty table
-gives no rows; other columns are ignored unless kept by name.
+gives no rows; ids may be of any type and null; other columns are ignored unless kept by name.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ def _vectors(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     for i in range(len(off) - 1):
         g = np.concatenate(grams(buf, off, i, i + 1)) if off[i + 1] > off[i] else np.zeros(0, np.int64)
         u, c = np.unique(g[g < _size()], return_counts=True)
-        out.append((u, c / max(1, c.sum())))
+        out.append((u.astype(np.int32), (c / max(1, c.sum())).astype(np.float32)))
     return out
 
 
@@ -129,34 +129,53 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = 4000) -> Model:
-    """Learn from rows where ``learn`` holds and text and language are not null."""
+_FITTED = "weights binary, bias binary, temperature double"
+
+
+def _fit(langs: list[str], idf: np.ndarray, scale: float):
+    """The whole sample in one task: packed weights (IDF included), bias and temperature."""
+
+    def run(it):
+        got = pa.Table.from_batches(list(it), schema=pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("lang", pa.string())]))
+        got = got.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("lang", "ascending")]).combine_chunks()
+        y = np.array([langs.index(v) for v in got.column("lang").to_pylist()], np.int64)
+        rows = [(u, x * idf[u].astype(np.float32), k) for (u, x), k in zip(_vectors(got.column("text")), y.tolist(), strict=True)]
+        back = np.arange(len(rows)) % 5 == 4
+        w = _ftrl([r for r, b in zip(rows, back, strict=True) if not b], len(langs), scale)
+        held = [r for r, b in zip(rows, back, strict=True) if b]
+        logits = np.array([(x * scale) @ w[u] + w[-1] for u, x, _ in held]).reshape(len(held), len(langs))
+        t = _temperature(logits, y[back]) if len(held) else 1.0
+        table = (w[:-1] * idf[:, None] * scale).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary()), pa.array([w[-1].tobytes()], pa.binary()), pa.array([t])], names=["weights", "bias", "temperature"])
+
+    return run
+
+
+def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = 4000, fit_bytes: int = 24 << 20, longest: int = 1 << 20) -> Model:
+    """Learn from rows where ``learn`` holds and text and language are not null. The languages share
+    ``fit_rows`` and ``fit_bytes`` alike; texts of more than ``longest`` bytes are not in the sample, but
+    count for the document frequencies, which cover all rows."""
     store.batches(docs.sparkSession)
-    d = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = {r[0]: r[1] for r in d.groupBy("lang").count().collect()}
+    d = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    size = F.octet_length("text")
+    sizes = {r["lang"]: (r["n"], r["bytes"] or 0) for r in d.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.when(size <= longest, size)).alias("bytes")).collect()}
     langs = sorted(sizes)
+    none = Model([], np.zeros((_size() + 1, 0)), np.zeros(0), 1.0)
     if not langs:
-        return Model([], np.zeros((_size() + 1, 0)), np.zeros(0), 1.0)
-    each = max(1, fit_rows // len(langs))
-    share = F.element_at(F.create_map(*[F.lit(v) for k in langs for v in (k, min(1.0, each / sizes[k]))]), F.col("lang"))
-    chosen = d.where((F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 20)) / (1 << 20)) < share).select("doc_id", "text", "lang").limit(2 * fit_rows).toArrow()
-    order = np.argsort(np.array([-1 if v is None else v for v in chosen.column("doc_id").to_pylist()], np.int64), kind="stable")
-    chosen = chosen.take(pa.array(order))
+        return none
+    shares = {k: min(1.0, fit_rows / len(langs) / n, fit_bytes / len(langs) / max(1, b)) for k, (n, b) in sizes.items()}
+    share = F.element_at(F.create_map(*[F.lit(v) for kv in shares.items() for v in kv]), F.col("lang"))
+    chosen = d.where((size <= longest) & ((F.pmod(F.xxhash64("doc_id", "text", F.lit("fit")), F.lit(1 << 20)) / (1 << 20)) < share)).limit(2 * fit_rows)
     df = np.zeros(_size() + 1)
     counts = d.select("text").mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     df[counts.column("feature").to_numpy()] = counts.column("n").to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    y = np.array([langs.index(v) for v in chosen.column("lang").to_pylist()], np.int64)
-    rows = [(u, x * idf[u], k) for (u, x), k in zip(_vectors(chosen.column("text")), y.tolist(), strict=True)]
-    back = np.arange(len(rows)) % 5 == 4
-    scale = 30.0
-    w = _ftrl([r for r, b in zip(rows, back, strict=True) if not b], len(langs), scale)
-    held = [r for r, b in zip(rows, back, strict=True) if b]
-    logits = np.array([(x * scale) @ w[u] + w[-1] for u, x, _ in held]).reshape(len(held), len(langs))
-    t = _temperature(logits, y[back]) if len(held) else 1.0
+    got = chosen.repartition(1).mapInArrow(_fit(langs, idf, 30.0), _FITTED).first()
+    if got is None:
+        return none
     table = np.zeros((_size() + 1, len(langs)), np.float32)
-    table[:-1] = w[:-1] * idf[:, None] * scale
-    return Model(langs, table, w[-1].copy(), t)
+    table[:-1] = np.frombuffer(got["weights"], np.float32).reshape(-1, len(langs))
+    return Model(langs, table, np.frombuffer(got["bias"], np.float64).copy(), got["temperature"])
 
 
 def probabilities(model: Model, texts: pa.Array) -> np.ndarray:
@@ -190,15 +209,15 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[st
     """The kept columns with lang_pred and score (the calibrated probability of lang_pred)."""
     spark = docs.sparkSession
     store.batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-    d = docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text"))
+    shared = store.share(spark, model)
+    d = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(store.unused(docs, "_text")))
 
     def run(it):
         m = shared.value
         columns = [np.ascontiguousarray(m.table[:, c]) for c in range(len(m.langs))]
         m = Model(m.langs, np.stack(columns, 1) if columns else m.table, m.bias, m.temperature)
         for b in it:
-            texts = b.column("_text")
+            texts = b.column(b.num_columns - 1)
             known = _has_letter(texts) & bool(m.langs)
             lang, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             if known.any():

@@ -248,7 +248,7 @@ def pack(docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str =
     hist = np.zeros(most + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():
         hist[r[0]] = r[1]
-    segments = spark.sparkContext.broadcast(_segments(plan(hist, most)))
+    segments = store.share(spark, _segments(plan(hist, most)))
     # ranks among equal lengths: hot lengths are spread over parts, each part counted first
     parts = max(8, int(hist.max(initial=0)) // 200_000)
     p = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))

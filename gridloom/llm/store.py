@@ -10,7 +10,6 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +84,7 @@ def salts(used: str) -> Column:
 
 
 def share(spark: SparkSession, value):
-    """Broadcast of a value of bounded size; ``unshare`` or the end of a ``scope`` takes it away again."""
+    """Broadcast of a value of bounded size; ``unshare`` or ``settled`` takes it away again."""
     b = spark.sparkContext.broadcast(value)
     _shared.append(b)
     return b
@@ -97,13 +96,24 @@ def unshare(b) -> None:
     b.destroy()
 
 
-@contextmanager
-def scope():
-    """Broadcasts made inside are removed at its end: all that reads them must have been written by then."""
-    before = len(_shared)
-    yield
-    for b in _shared[before:]:
+def settled(make, name: str) -> DataFrame:
+    """The written table of the rows of ``make()``; broadcasts and tables that it made for them are removed."""
+    shared, written = len(_shared), len(_written)
+    out = table(make(), name)
+    for b in _shared[shared:]:
         unshare(b)
+    for spark, path in _written[written:-1]:
+        _delete(spark, path)
+    del _written[written:-1]
+    return out
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def batches(spark: SparkSession, rows: int = 1000) -> None:
