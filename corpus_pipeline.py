@@ -1,15 +1,17 @@
 """From raw documents to packed training sequences: quality classifier, language ID, near-duplicate
 groups, benchmark decontamination, best-fit packing.
 
-A stage works on all that the one before kept. Rejected rows are joined away by id and text key; they
-are the smaller side, which the engine broadcasts if its size allows. Defined results: rows that share an id
-are judged by their own text; of a near-duplicate group and of rows that share an id one stays; rows
-without id stay unless their text is rejected.
+A stage works on all that the one before kept. What a stage rejects is written as keys before it returns, and
+the broadcasts and tables behind it are removed, so the driver holds one stage's state at a time. A row is
+known by its id and the hash of its text. Defined results: rows that share an id are judged by their own
+text; null text is rejected as a quality; of a near-duplicate group that document stays that has the
+smallest id (null last), and of repeated rows one, the first by its other columns; an empty table passes
+through; columns of any other name are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontam, kneser, langid, packing, partenum, store
@@ -19,36 +21,71 @@ ORACLE_SQL = None
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, _key) is not among the rejected."""
-    d = docs.withColumn("_key", store.text_key("text")).alias("d")
-    r = rejected.select("doc_id", "_key").distinct().alias("r")
-    return d.join(r, F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d._key") == F.col("r._key")), "left_anti").drop("_key")
+    """Rows of ``docs`` whose id and text key are not among ``rejected`` (doc_id, text_key)."""
+    key = store.unused(docs, "_key")
+    d = docs.withColumn(key, store.text_key("text")).alias("d")
+    r = rejected.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of")).alias("r")
+    return d.join(r, F.col("d.doc_id").eqNullSafe(F.col("r._id")) & (F.col(f"d.{key}") == F.col("r._of")), "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", "lang", store.text_key("text").alias("text_key"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    d = docs.withColumn("_key", store.text_key("text"))
-    return _without(docs, kneser.classify(d, kneser.trusted_ids(spark, sf_dir), keep=("_key",)).where("not kept"))
+    def bad():
+        out = kneser.classify(_keyed(docs), kneser.trusted_ids(spark, sf_dir), keep=("text_key",))
+        return out.where("not kept").select("doc_id", "text_key").distinct()
+
+    return _without(docs, store.settled(bad, "rejected"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, quantile: float = 0.0005, slack: float = 0.8, least: int = 100, bounds: tuple[int, ...] = (64, 512)) -> DataFrame:
+    """Texts without letters go, and those whose calibrated score stands out as low: under ``slack`` times the
+    ``quantile`` of the scores of labelled texts that the model has not seen, of the same predicted
+    language and length (``bounds`` in bytes), or of that language where there are under ``least``."""
 
+    def bad():
+        seen = ~langid.held_out("doc_id", 4)
+        own = _keyed(docs).withColumn("new", ~seen & F.col("lang").isNotNull()).withColumn("size", sum((F.octet_length("text") > b).cast("int") for b in bounds))
+        out = store.table(langid.predict(own, langid.fit(own, seen), keep=("doc_id", "text_key", "new", "size")), "languages")
+        low = F.percentile_approx("score", quantile, 100_000)
+        known = out.where("new and lang_pred <> 'und'")
+        near = known.groupBy("lang_pred", "size").agg(low.alias("low"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+        wide = known.groupBy("lang_pred").agg(low.alias("any"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+        out = out.join(F.broadcast(near), ["lang_pred", "size"], "left").join(F.broadcast(wide), "lang_pred", "left")  # a row for each language
+        return out.where((F.col("lang_pred") == "und") | (F.col("score") < slack * F.coalesce("low", "any", F.lit(0.0)))).select("doc_id", "text_key").distinct()
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.3) -> DataFrame:
-    """Texts without letters or without a language that stands out go."""
-    model = langid.fit(docs, ~langid.held_out("doc_id", 4))
-    out = langid.predict(docs.withColumn("_key", store.text_key("text")), model, keep=("doc_id", "_key"))
-    return _without(docs, out.where((F.col("lang_pred") == "und") | (F.col("score") < least)))
+    return _without(docs, store.settled(bad, "rejected"))
+
+
+def _row_id() -> Column:
+    return F.xxhash64("doc_id", store.text_key("text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = store.table(partenum.jaccard_groups(docs).select("doc_id", "component_id"), "groups")
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    firsts = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    one = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return firsts.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    """Rows are grouped under ids of their own (id and text), so that rows that share an id are apart."""
+
+    def bad():
+        own = docs.select("doc_id", "text", _row_id().alias("id"))
+        group = store.table(partenum.jaccard_groups(own.select("id", "text"), doc_id="id").select("doc_id", "component_id").distinct(), "groups").withColumnRenamed("doc_id", "id")
+        rows = own.select("doc_id", "id", store.text_key("text").alias("text_key")).distinct().join(group, "id").withColumn("salt", store.salt("id"))
+        first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("first"), F.count("*").alias("n"), store.salts_used("salt").alias("used")).where("n > 1")
+        first = first.select("component_id", F.col("first.id").alias("stays"), F.explode(store.salts("used")).alias("salt"))
+        return rows.join(first, ["component_id", "salt"]).where("id <> stays").select("doc_id", "text_key").distinct()
+
+    left = _without(docs, store.settled(bad, "rejected"))
+    one, rank = store.unused(left, "_one"), store.unused(left, "_rank")
+    left = left.withColumn(one, _row_id())
+    again = store.settled(lambda: left.groupBy(one).count().where("count > 1").select(F.col(one).alias("_again")), "repeated")
+    order = [F.col(f"`{f.name}`") if f.dataType.typeName() not in ("map", "variant") else F.lit(0) for f in docs.schema.fields]
+    firsts = left.join(again, F.col(one) == F.col("_again"), "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(one).orderBy(*order))).where(F.col(rank) == 1)
+    return left.join(again, F.col(one) == F.col("_again"), "left_anti").select(*docs.columns).unionByName(firsts.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hit = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0")
-    return _without(docs, hit.withColumnRenamed("text_key", "_key"))
+    hit = lambda: decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0").select("doc_id", "text_key").distinct()
+    return _without(docs, store.settled(hit, "rejected"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
