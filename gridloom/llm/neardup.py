@@ -1,21 +1,23 @@
-"""Near-duplicate vectors by hyperplane buckets, all pairs of a bucket.
+"""Near-duplicate vectors by sorted projection passes.
 
-Each pass signs every vector with a few random hyperplanes (Charikar, "Similarity Estimation Techniques
-from Rounding Algorithms", STOC 2002) and compares all vectors that share the code; verified pairs of all
-passes are united. Bits and passes follow the row count (``plan``): a pair at the threshold's cosine shares
-a code in some pass with probability ``recall``, a closer pair with more; a bucket is about ``bucket``
-unrelated vectors at any size, and up to ``bucket`` vectors are one bucket, so all pairs. A bucket is whole:
-one of more than a tile is cut into tiles whose pairs are spread over tasks. Passes run in rounds, so
-that the shuffle of one round at a time is on disk.
+Each pass orders all vectors lexicographically by a fresh random hash, the signs of random projections
+(Charikar, "Similarity Estimation Techniques from Rounding Algorithms", STOC 2002) joined into one word, and
+compares each vector with those that follow it within a window; verified pairs of all passes are united.
+A vector's place in the order is its rank over the whole table, so windows cross the borders of partitions:
+ranks are cut into tiles of ``window`` rows, and a tile meets itself and the one before. Passes follow the
+row count (``passes_for``): a pair at the threshold's cosine stands within the window of some pass with
+probability ``recall``, a closer pair with more; up to ``window`` vectors are one tile, so all pairs.
+Passes run in rounds, so that the shuffle of one round at a time is on disk.
 
 Equal vectors become one class first. What travels is an 8-bit sketch with the exact norm of its
 residual: it bounds the cosine from both sides, and only pairs whose bounds leave the threshold open are
 compared on their own vectors in double precision. Precision is exact. The passes only settle the
 components; ``n_links`` is then counted on all pairs of vectors of a component, in double precision.
 
-Defined results: null, empty or zero vectors, those with null or non-finite components, and those of
-another length than the most common are linked with nothing; rows without id are left out; rows that
-share an id and differ are each a vector of that id; repeated rows are one; an empty table gives no rows.
+Defined results: null, empty or zero vectors and those with null or non-finite components are linked with
+nothing; vectors of different lengths are never linked, those of one length among themselves; rows without
+id and repeated rows are vectors of their own, the former with a null component; rows that share an id are
+vectors of that id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import store
@@ -33,15 +35,17 @@ from .components import components
 _HEAD = 8  # bytes of scale and residual norm before the components of a sketch
 _SLOP = 2e-5  # float32 rounding of a dot product of unit vectors
 _ROUND = 4  # passes on disk at a time
+_BITS = 62  # signs in the hash of a pass
 _STRIP = 256  # rows of a block product
 _TILED = "a long, b long, sure boolean, k1 int, k2 long, tile int, ids binary, data binary"
 
 
-def plan(n: int, least: float, recall: float, bucket: int) -> tuple[int, int]:
-    """Bits of a code and passes for n vectors."""
-    bits = max(0, math.ceil(math.log2(max(n, 1) / bucket)))
+def passes_for(n: int, least: float, recall: float, window: int) -> int:
+    """Passes for n vectors: two vectors that share as many leading bits as leave half a window of unrelated
+    vectors between them stand within the window."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / window)) + 1) if n > window else 0
     same = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
-    return (bits, 1 if same == 1 else math.ceil(math.log(1 - recall) / math.log(1 - same))) if same > 0 else (0, 1)
+    return 1 if same == 1 or same <= 0 else math.ceil(math.log(1 - recall) / math.log(1 - same))
 
 
 def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,25 +91,100 @@ def _sketch(dim: int):
         for b in it:
             x, ok = matrix(b.column("v"), dim)
             s = sketches(unit(x))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([s[i].tobytes() if ok[i] else None for i in range(len(s))], pa.binary()), pa.array([x[i].tobytes() if ok[i] else None for i in range(len(s))], pa.binary())], names=["id", "sketch", "raw"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([s[i].tobytes() if ok[i] else None for i in range(len(s))], pa.binary()), pa.array([x[i].tobytes() if ok[i] else None for i in range(len(s))], pa.binary())], names=["key", "sketch", "raw"])
 
     return run
 
 
-def _codes(dim: int, bits: int, passes: range, seed: int):
+def _codes(dim: int, passes: range, seed: int):
+    """Rows of each pass with its hash: 62 signs of projections."""
+
     def run(it):
-        planes = [np.random.default_rng([seed, p]).standard_normal((dim, bits)).astype(np.float32) for p in passes]
+        planes = [np.random.default_rng([seed, p]).standard_normal((dim, _BITS)).astype(np.float32) for p in passes]
+        weight = np.int64(1) << np.arange(_BITS - 1, -1, -1, dtype=np.int64)
         for b in it:
             if not b.num_rows:
                 continue
             x, _ = restored(b.column("sketch"), dim)
             for p, plane in zip(passes, planes, strict=True):
-                code = (x @ plane > 0).astype(np.int64) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), pa.array(code), b.column("node"), b.column("n"), b.column("sketch")], names=["k1", "k2", "node", "n", "data"])
+                code = (x @ plane > 0).astype(np.int64) @ weight
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), pa.array(code), b.column("node"), b.column("sketch")], names=["pass", "code", "node", "data"])
 
     return run
 
 
+def _placed(it):
+    """Rows with their partition and place in it."""
+    from pyspark import TaskContext
+
+    part, at = TaskContext.get().partitionId(), {}
+    for b in it:
+        p = b.column("pass").to_numpy()
+        place = np.empty(len(p), np.int64)
+        for k in np.unique(p).tolist():
+            mine = np.flatnonzero(p == k)
+            place[mine] = at.get(k, 0) + np.arange(len(mine))
+            at[k] = at.get(k, 0) + len(mine)
+        yield pa.RecordBatch.from_arrays([b.column("pass"), pa.array(np.full(len(p), part, np.int32)), pa.array(place), b.column("node"), b.column("data")], names=["pass", "part", "place", "node", "data"])
+
+
+def _windows(solve):
+    """Over rows sorted by (pass, tile, own): pairs that ``solve`` finds among the rows of a tile and between
+    them and those of the tile before (own = 0)."""
+
+    def close(own, ids, data):
+        i = np.concatenate(ids)
+        before = int((np.concatenate(own) == 0).sum())
+        mine, other = np.stack([i[before:], i[before:]], 1), np.stack([i[:before], i[:before]], 1)
+        if len(mine) > 1:
+            yield from solve(mine, data[before:], mine, data[before:], True)
+        if before and len(mine):
+            yield from solve(other, data[:before], mine, data[before:], False)
+
+    def run(it):
+        key, held, found = None, ([], [], []), []
+        for b in it:
+            if not b.num_rows:
+                continue
+            k = np.stack([b.column("pass").to_numpy(), b.column("tile").to_numpy()])
+            cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
+            own, ids, data = b.column("own").to_numpy(), b.column("node").to_numpy(), b.column("data").to_pylist()
+            for i, z in zip(cuts[:-1], cuts[1:], strict=True):
+                if key != (int(k[0, i]), int(k[1, i])):
+                    if held[0]:
+                        found.extend(close(*held))
+                    key, held = (int(k[0, i]), int(k[1, i])), ([], [], [])
+                held[0].append(own[i:z])
+                held[1].append(ids[i:z])
+                held[2].extend(data[i:z])
+            if sum(len(f[0]) for f in found) > 100_000:
+                yield _found(*(np.concatenate(c) for c in zip(*found, strict=True)))
+                found = []
+        if held[0]:
+            found.extend(close(*held))
+        if found:
+            yield _found(*(np.concatenate(c) for c in zip(*found, strict=True)))
+
+    return run
+
+
+def _passes(classes: DataFrame, dim: int, window: int, passes: range, least: float, seed: int) -> DataFrame:
+    """Pairs (a, b, sure) that the windows of these passes hold."""
+    spark = classes.sparkSession
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    coded = classes.select("node", "sketch").mapInArrow(_codes(dim, passes, seed), "pass int, code long, node long, data binary")
+    ordered = coded.repartitionByRange(parts, "pass", "code", "node").sortWithinPartitions("pass", "code", "node")
+    placed = store.table(ordered.mapInArrow(_placed, "pass int, part int, place long, node long, data binary"), "order")
+    counts = placed.groupBy("pass", "part").agg(F.count("*").alias("n"))  # a row for each partition and pass
+    before = counts.select("pass", "part", (F.sum("n").over(Window.partitionBy("pass").orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("pass")).alias("all"))
+    ranked = placed.join(F.broadcast(before), ["pass", "part"]).withColumn("own_tile", F.floor((F.col("before") + F.col("place")) / window))
+    last = F.floor((F.col("all") - 1) / window)
+    at = F.array(F.struct(F.col("own_tile").alias("tile"), F.lit(1).alias("own")), F.struct((F.col("own_tile") + 1).alias("tile"), F.lit(0).alias("own")))
+    tiles = ranked.withColumn("at", F.explode(F.filter(at, lambda x: x["tile"] <= last))).select("pass", "at.tile", "at.own", "node", "data")
+    tiles = tiles.repartition(parts, "pass", "tile").sortWithinPartitions("pass", "tile", "own")
+    return store.table(tiles.mapInArrow(_windows(_pairs(dim, least)), "a long, b long, sure boolean"), "pairs")
+
+
 def _found(a: np.ndarray, b: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
     cols = [pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), pa.array(sure.astype(bool))]
     return pa.RecordBatch.from_arrays(cols, names=["a", "b", "sure"])
@@ -283,34 +362,29 @@ def _exact(dim: int, least: float):
 
 
 def _own(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The vector of each class, taken from the row of its first id."""
-    c = classes.select("node", F.col("first").alias("id"), "h1", "h2")
-    return rows.where("raw is not null").withColumns({"h1": F.xxhash64("raw"), "h2": F.hash("raw")}).join(c, ["id", "h1", "h2"]).groupBy("node").agg(F.min("raw").alias("raw"))
-
-
-def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, recall: float = 0.99, bucket: int = 2048, seed: int = 5) -> DataFrame:
-    """One row per distinct (id, vector): vec_id, n_links, component_id."""
-    spark = vectors.sparkSession
-    store.batches(spark, 4000)
-    v = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v")).where("id is not null")
-    top = v.where("size(v) > 0").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = top[0] if top else 1
-    rows = v.mapInArrow(_sketch(dim), "id long, sketch binary, raw binary")
-    keyed = rows.select("id", "sketch", F.xxhash64("raw").alias("h1"), F.hash("raw").alias("h2"))
-    members = store.table(keyed.groupBy("h1", "h2", "sketch", "id").agg(F.count("*").alias("k")).drop("k"), "members")
-    classes = members.where("sketch is not null").groupBy("h1", "h2", "sketch").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    """The vector of each class, taken from the row of its first key."""
+    c = classes.select("node", F.col("first").alias("key"), "h1", "h2")
+    return rows.where("raw is not null").withColumns({"h1": F.xxhash64("raw"), "h2": F.hash("raw")}).join(c, ["key", "h1", "h2"]).groupBy("node").agg(F.min("raw").alias("raw"))
+
+
+def _linked(v: DataFrame, dim: int, least: float, recall: float, window: int, seed: int) -> DataFrame:
+    """Rows (key, more, component) of the vectors of one length: class by class, how many others a vector of it is
+    linked to, and the smallest key it reaches. ``key`` is the id, or null."""
+    rows = v.mapInArrow(_sketch(dim), "key long, sketch binary, raw binary")
+    keyed = rows.select("key", "sketch", F.xxhash64("raw").alias("h1"), F.hash("raw").alias("h2"))
+    members = store.table(keyed.groupBy("h1", "h2", "sketch", "key").agg(F.count("*").alias("k")), "members")
+    usable = members.where("sketch is not null").withColumn("salt", store.salt("key"))
+    classes = usable.groupBy("h1", "h2", "sketch").agg(F.min("key").alias("first"), F.sum("k").alias("n"), store.salts_used("salt").alias("used"))
     classes = store.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    bits, passes = plan(classes.count(), least, recall, bucket)
+    passes = passes_for(classes.count(), least, recall, window)
     found = None
     for p in range(0, passes, _ROUND):
-        signed = classes.select("node", "n", "sketch").mapInArrow(_codes(dim, bits, range(p, min(passes, p + _ROUND)), seed), "k1 int, k2 long, node long, n long, data binary")
-        some = _all_pairs(signed, _pairs(dim, least), dim + _HEAD, "pairs")
+        some = _passes(classes, dim, window, range(p, min(passes, p + _ROUND)), least, seed)
         found = some if found is None else found.union(some)
     found = store.table(found.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
     open_ = found.where("not sure").select("a", "b")
     wanted = open_.select(F.col("a").alias("node")).union(open_.select(F.col("b").alias("node"))).distinct()
-    own = _own(rows, classes.join(wanted, "node"))
-    own = store.table(own, "vectors")
+    own = store.table(_own(rows, classes.join(wanted, "node")), "vectors")
     both = open_.join(own.select(F.col("node").alias("a"), F.col("raw").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("raw").alias("y")), "b")
     links = store.table(found.where("sure").select("a", "b").union(both.select("a", "b", "x", "y").mapInArrow(_exact(dim, least), "a long, b long")), "links")
 
@@ -320,15 +394,25 @@ def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: st
     inside = several.join(_own(rows, several), "node").select(F.lit(0).alias("k1"), F.col("component").alias("k2"), "node", "n", F.col("raw").alias("data"))
     more = _all_pairs(inside, _counts(dim, least), 8 * dim, "counts").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("more"))
     names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    about = grouped.join(more, "node", "left").join(names, "component").select("h1", "h2", "sketch", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
+    about = grouped.join(more, "node", "left").join(names, "component").select("h1", "h2", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id", F.explode(store.salts("used")).alias("salt"))
     # copies of one vector may be a third of all rows: both sides of the join are salted
-    salts = 32
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    hot = members.where("sketch is not null").groupBy("h1", "h2", "sketch").agg(F.collect_set(F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).alias("salts"))
-    spread = about.join(hot, ["h1", "h2", "sketch"]).select("h1", "h2", "n_links", "component_id", F.explode("salts").alias("salt"))
-    out = salted.where("sketch is not null").join(spread, ["h1", "h2", "salt"]).select(F.col("id").alias("vec_id"), "n_links", "component_id")
-    alone = members.where("sketch is null").select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return out.unionByName(alone)
+    out = usable.join(about, ["h1", "h2", "salt"]).select("key", "k", "n_links", "component_id")
+    return out.unionByName(members.where("sketch is null").select("key", "k", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))
+
+
+def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, recall: float = 0.99, window: int = 1024, seed: int = 5) -> DataFrame:
+    """One row per row: vec_id, n_links, component_id."""
+    spark = vectors.sparkSession
+    store.batches(spark, 4000)
+    v = vectors.select(F.col(vec_id).cast("long").alias("key"), F.col(embedding).cast("array<double>").alias("v"))
+    lengths = [r[0] for r in v.where("size(v) > 0").select(F.size("v")).distinct().collect()]
+    out = v.where("v is null or size(v) = 0").select(F.col("key").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
+    for dim in sorted(lengths):
+        own = v if len(lengths) == 1 else v.where(F.size("v") == dim)
+        own = own.where("size(v) > 0")
+        some = _linked(own, dim, least, recall, window, seed).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))))
+        out = out.unionByName(some.select(F.col("key").alias("vec_id"), "n_links", "component_id"))
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:

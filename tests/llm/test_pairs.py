@@ -116,12 +116,16 @@ def test_recall_at_the_threshold(spark):
 
 
 def test_passes_follow_the_row_count():
-    assert neardup.plan(2000, 0.9, 0.99, 2048) == (0, 1)
-    last = 0
-    for n in (5_000, 500_000, 50_000_000):
-        bits, passes = neardup.plan(n, 0.9, 0.99, 2048)
-        assert 1 - (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes >= 0.99 and passes > last
-        last = passes
+    assert neardup.passes_for(1024, 0.9, 0.99, 1024) == 1
+    assert [neardup.passes_for(n, 0.9, 0.99, 1024) for n in (5_000, 500_000, 50_000_000)] == sorted({neardup.passes_for(n, 0.9, 0.99, 1024) for n in (5_000, 500_000, 50_000_000)})
+
+
+def test_vectors_of_every_length_and_without_id(spark):
+    a, b = [1.0, 2.0, 3.0], [1.0, 2.0]
+    rows = [(1, a), (2, a), (2, a), (None, a), (5, b), (4, b), (6, [-1.0, 2.0]), (7, [1e307, 2e307]), (None, None)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, n_links int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in neardup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 3, 1), (2, 3, 1), (2, 3, 1), (None, 3, 1), (5, 2, 4), (4, 2, 4), (6, 0, 6), (7, 2, 4), (None, 0, None)], key=str)
 
 
 def test_links_of_a_large_group_are_counted(spark):
