@@ -37,7 +37,6 @@ _SLOP = 2e-5  # float32 rounding of a dot product of unit vectors
 _ROUND = 4  # passes on disk at a time
 _BITS = 62  # signs in the hash of a pass
 _STRIP = 256  # rows of a block product
-_TILED = "a long, b long, sure boolean, k1 int, k2 long, tile int, ids binary, data binary"
 
 
 def passes_for(n: int, least: float, recall: float, window: int) -> int:
@@ -190,64 +189,45 @@ def _found(a: np.ndarray, b: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["a", "b", "sure"])
 
 
-def _tiles(solve, rows: int):
-    """Over rows (node, n, data) sorted by (k1, k2): what ``solve`` finds in groups of at most ``rows``
-    rows, and larger groups as numbered tiles."""
+_TILED = "a long, b long, component long, tile int, ids binary, data binary"
+_NAMES = ["a", "b", "component", "tile", "ids", "data"]
 
-    def run(it):
-        key, ids, data, tile, out, size = None, [], [], 0, [], 0
-
-        def tiled(i, d):
-            cols = [[None], [None], [None], [key[0]], [key[1]], [tile], [i.tobytes()], [b"".join(d)]]
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=_NAMES)
-
-        def close():
-            if key is None:
-                return
-            i = np.concatenate(ids)
-            if tile:
-                yield tiled(i, data)
-            elif len(i) > 1:
-                out.extend(solve(i, data, i, data, True))
-
-        def flush():
-            a, b, sure = (np.concatenate(c) for c in zip(*out, strict=True))
-            out.clear()
-            n = len(a)
-            nulls = [pa.nulls(n, t) for t in (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())]
-            return pa.RecordBatch.from_arrays(_found(a, b, sure).columns + nulls, names=_NAMES)
 
+def _tiles(solve):
+    """Over rows (component, tile, tiles, node, n, data) sorted by component and tile: what ``solve`` finds in
+    components of one tile, and the packed tiles of larger ones."""
+
+    def close(key, tiles, ids, data):
+        i = np.concatenate(ids)
+        if tiles == 1:
+            for a, b in solve(i, data, i, data, True):
+                yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), *(pa.nulls(len(a), t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=_NAMES)
+        else:
+            cols = zip([[None], [None], [key[0]], [key[1]], [i.tobytes()], [b"".join(data)]], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in cols], names=_NAMES)
+
+    def run(it):
+        key, tiles, ids, data = None, 0, [], []
         for b in it:
             if not b.num_rows:
                 continue
-            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
+            k = np.stack([b.column("component").to_numpy(), b.column("tile").to_numpy()])
+            cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1).tolist(), b.num_rows]
             own = np.stack([b.column("node").to_numpy(), b.column("n").to_numpy()], 1)
-            raw = b.column("data").to_pylist()
-            cuts = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1
-            for i, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k1)], strict=True):
-                if key != (int(k1[i]), int(k2[i])):
-                    yield from close()
-                    key, ids, data, tile, size = (int(k1[i]), int(k2[i])), [], [], 0, 0
+            raw, of = b.column("data").to_pylist(), b.column("tiles").to_numpy()
+            for i, z in zip(cuts[:-1], cuts[1:], strict=True):
+                if key != (int(k[0, i]), int(k[1, i])):
+                    if key:
+                        yield from close(key, tiles, ids, data)
+                    key, tiles, ids, data = (int(k[0, i]), int(k[1, i])), int(of[i]), [], []
                 ids.append(own[i:z])
-                data = data + raw[i:z] if data else raw[i:z]
-                size += z - i
-                while size > rows:
-                    whole = np.concatenate(ids)
-                    yield tiled(whole[:rows], data[:rows])
-                    ids, data, size, tile = [whole[rows:]], data[rows:], size - rows, tile + 1
-                if sum(len(o[0]) for o in out) > 100_000:
-                    yield flush()
-        yield from close()
-        if out:
-            yield flush()
+                data.extend(raw[i:z])
+        if key:
+            yield from close(key, tiles, ids, data)
 
     return run
 
 
-_NAMES = ["a", "b", "sure", "k1", "k2", "tile", "ids", "data"]
-
-
 def _crossed(solve, width: int):
     """What ``solve`` finds in pairs of tiles."""
 
@@ -256,31 +236,34 @@ def _crossed(solve, width: int):
             for r in b.to_pylist():
                 i, j = (np.frombuffer(r[c], np.int64).reshape(-1, 2) for c in ("ids", "ids2"))
                 x, y = ([r[c][o : o + width] for o in range(0, len(r[c]), width)] for c in ("data", "data2"))
-                for o in solve(i, x, j, y, r["tile"] == r["tile2"]):
-                    yield _found(*o)
+                for a, n in solve(i, x, j, y, r["tile"] == r["tile2"]):
+                    yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)), pa.array(n.astype(np.int64))], names=["a", "b"])
 
     return run
 
 
-def _all_pairs(rows: DataFrame, solve, width: int, name: str) -> DataFrame:
-    """``solve`` over all pairs of rows (k1, k2, node, n, data) that share (k1, k2)."""
+def _tile_rows(dim: int) -> int:
+    return max(_STRIP, min(4096, 1_000_000 // (8 * dim)))
+
+
+def _all_pairs(rows: DataFrame, solve, width: int) -> DataFrame:
+    """``solve`` over all pairs of rows of a component, tile by tile."""
     spark = rows.sparkSession
-    tile = max(_STRIP, min(4096, 1_000_000 // width))
     parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartitionByRange(parts, "k1", "k2").sortWithinPartitions("k1", "k2")
-    mixed = store.table(ordered.mapInArrow(_tiles(solve, tile), _TILED), name)
-    found, large = mixed.where("tile is null").select("a", "b", "sure"), mixed.where("tile is not null").drop("a", "b", "sure")
-    groups = large.groupBy("k1", "k2").agg(F.ceil(F.count("*") / 8).cast("int").alias("salts"))
-    dealt = large.join(groups, ["k1", "k2"])
+    ordered = rows.repartition(parts, "component", "tile").sortWithinPartitions("component", "tile")
+    mixed = store.table(ordered.mapInArrow(_tiles(solve), _TILED), "counts")
+    found, large = mixed.where("tile is null").select("a", "b"), mixed.where("tile is not null").drop("a", "b")
+    groups = large.groupBy("component").agg(F.ceil(F.count("*") / 8).cast("int").alias("salts"))
+    dealt = large.join(groups, "component")
     left = dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    right = dealt.select("k1", "k2", (F.col("tile") % F.col("salts")).alias("salt"), F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
-    both = left.join(right, ["k1", "k2", "salt"]).where("tile <= tile2").select("tile", "tile2", "ids", "ids2", "data", "data2")
+    right = dealt.select("component", (F.col("tile") % F.col("salts")).alias("salt"), F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
+    both = left.join(right, ["component", "salt"]).where("tile <= tile2").select("tile", "tile2", "ids", "ids2", "data", "data2")
     if large.limit(1).count():
         key = "spark.sql.execution.arrow.maxRecordsPerBatch"
         before = spark.conf.get(key)
         spark.conf.set(key, 16)  # a row is two tiles
         try:
-            found = found.union(store.table(both.mapInArrow(_crossed(solve, width), "a long, b long, sure boolean"), name))
+            found = found.union(store.table(both.mapInArrow(_crossed(solve, width), "a long, b long"), "counts"))
         finally:
             spark.conf.set(key, before)
     return found
@@ -344,9 +327,9 @@ def _counts(dim: int, least: float):
                 near[np.arange(len(near)), np.arange(p, p + len(near))] = False
             mine[p : p + _STRIP] = near @ j[:, 1]
             other += i[p : p + _STRIP, 1] @ near
-        yield i[:, 0], mine, np.ones(len(u), bool)
+        yield i[:, 0], mine
         if not same:
-            yield j[:, 0], other, np.ones(len(v), bool)
+            yield j[:, 0], other
 
     return run
 
@@ -389,12 +372,15 @@ def _linked(v: DataFrame, dim: int, least: float, recall: float, window: int, se
     links = store.table(found.where("sure").select("a", "b").union(both.select("a", "b", "x", "y").mapInArrow(_exact(dim, least), "a long, b long")), "links")
 
     grouped = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    grouped = store.table(grouped, "groups")
-    several = grouped.join(grouped.groupBy("component").count().where("count > 1").select("component"), "component")
-    inside = several.join(_own(rows, several), "node").select(F.lit(0).alias("k1"), F.col("component").alias("k2"), "node", "n", F.col("raw").alias("data"))
-    more = _all_pairs(inside, _counts(dim, least), 8 * dim, "counts").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("more"))
-    names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    about = grouped.join(more, "node", "left").join(names, "component").select("h1", "h2", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id", F.explode(store.salts("used")).alias("salt"))
+    grouped = grouped.withColumn("by", store.salt("node"))
+    whole = grouped.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("size"), store.salts_used("by").alias("used_by"))
+    whole = whole.withColumn("by", F.explode(store.salts("used_by"))).drop("used_by")
+    grouped = store.table(grouped.join(whole, ["component", "by"]).drop("by"), "groups")
+    several = grouped.where("size > 1")
+    tiles = F.ceil(F.col("size") / _tile_rows(dim)).cast("int")
+    inside = several.join(_own(rows, several), "node").select("component", tiles.alias("tiles"), F.pmod(F.hash("node"), tiles).alias("tile"), "node", "n", F.col("raw").alias("data"))
+    more = _all_pairs(inside, _counts(dim, least), 8 * dim).groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("more"))
+    about = grouped.join(more, "node", "left").select("h1", "h2", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id", F.explode(store.salts("used")).alias("salt"))
     # copies of one vector may be a third of all rows: both sides of the join are salted
     out = usable.join(about, ["h1", "h2", "salt"]).select("key", "k", "n_links", "component_id")
     return out.unionByName(members.where("sketch is null").select("key", "k", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))
