@@ -24,12 +24,18 @@ from pyspark.sql import functions as F
 
 from . import store
 
-PATH, WORDS, MORE = 96, 32, 8
+TAGS, PATH, WORDS, MORE = 64, 192, 32, 8  # tag names have TAGS of the PATH places to themselves
 DIM = PATH + WORDS + MORE
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 HIDDEN = frozenset("script style template noscript head title svg iframe object select textarea button".split())
 _ITEM = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Fixed values of the HTML standard: what may stand in a head, and what ends svg content left open.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_ENDS_SVG = frozenset("blockquote body center dd div dl dt embed h1 h2 h3 h4 h5 h6 head hr img li menu meta ol p pre table ul".split()) | frozenset("article aside footer header main nav section form".split())
+_NOT_IN_CONTROL = frozenset("article aside blockquote body dl footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split())
+#: Elements left open, and the start tags that end them.
+_ENDED = {"head": None, "svg": _ENDS_SVG, "select": _NOT_IN_CONTROL | {"div", "input", "textarea", "select"}, "button": _NOT_IN_CONTROL | {"button"}}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -63,7 +69,17 @@ class _Reader(HTMLParser):
             self.links -= n == "a"
         del self.open[to:]
 
+    def _end_implied(self, tag: str):
+        """End what was left open and cannot hold ``tag``."""
+        for i, (n, _) in enumerate(self.open):
+            if n in _ENDED and (tag not in _IN_HEAD if n == "head" else tag in _ENDED[n]) and not any(m in ("foreignobject", "noscript", "template") for m, _ in self.open[i:]):
+                self.flush()
+                return self._pop(i)
+        return None
+
     def handle_starttag(self, tag, attrs):
+        if self.hidden:
+            self._end_implied(tag)
         if tag == "br":
             self.parts.append(" ")
         if tag not in INLINE:
@@ -83,7 +99,7 @@ class _Reader(HTMLParser):
         names = [tag]
         for k, v in attrs:
             if k in ("class", "id", "role", "itemprop") and v:
-                names += [f".{w}" for w in _SPLIT.split(v.lower()[:200]) if w]
+                names += [f".{w}" for w in _SPLIT.split(v.lower()) if w]
         self.open.append((tag, tuple(names)))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
@@ -105,6 +121,8 @@ class _Reader(HTMLParser):
         return None
 
     def handle_data(self, data):
+        if self.hidden and self.open[-1][0] == "head" and data.strip():
+            self._end_implied("")
         if not self.hidden:
             self.parts.append(data)
             if self.links:
@@ -120,26 +138,35 @@ def blocks_of(html: str | None) -> list[Block]:
     return r.blocks
 
 
-@lru_cache(1 << 14)
-def _place(word: str, size: int) -> tuple[int, float]:
+def _digest(word: str, size: int) -> tuple[int, float]:
     h = xxhash.xxh64_intdigest(word)
     return h % size, 1.0 if h >> 63 else -1.0
 
 
-def features(blocks: list[Block]) -> np.ndarray:
+_known = lru_cache(1 << 14)(_digest)
+
+
+def _place(word: str, size: int) -> tuple[int, float]:
+    return _known(word, size) if len(word) <= 64 else _digest(word, size)
+
+
+def features(blocks: list[Block], first: int = 0, n: int | None = None) -> np.ndarray:
+    """Vectors of blocks that stand from ``first`` on among the n of their page."""
     x = np.zeros((len(blocks), DIM), np.float32)
-    n = len(blocks)
-    for i, b in enumerate(blocks):
+    n = n or len(blocks)
+    for k, b in enumerate(blocks):
+        i = first + k
         for t in set(b.path) | {"/".join(b.path[-2:])}:
-            p, s = _place(t, PATH)
-            x[i, p] += s
+            tag = bool(t) and t[0] != "." and "/" not in t
+            p, s = _place(t, TAGS if tag else PATH - TAGS)
+            x[k, p if tag else p + TAGS] += s
         words = b.text.lower().split()
         for w in words:
-            p, s = _place(w[:20], WORDS)
-            x[i, PATH + p] += s
-        x[i, PATH : PATH + WORDS] /= max(1, len(words)) ** 0.5
+            p, s = _place(w, WORDS)
+            x[k, PATH + p] += s
+        x[k, PATH : PATH + WORDS] /= max(1, len(words)) ** 0.5
         size = len(b.text)
-        x[i, PATH + WORDS :] = (np.log1p(size) / 5, min(1, b.linked / size), b.text[-1] in ".!?…\"", len(words) < 5, len(words) > 20, i / n, (n - i) / n, len(b.path) / 10)
+        x[k, PATH + WORDS :] = (np.log1p(size) / 5, min(1, b.linked / size), b.text[-1] in ".!?…\"", len(words) < 5, len(words) > 20, i / n, (n - i) / n, len(b.path) / 10)
     return x
 
 
@@ -165,6 +192,9 @@ def sample_page(rng: np.random.Generator) -> list[tuple[Block, bool]]:
     syllables = ["an", "re", "tion", "the", "ou", "sch", "ei", "qu", "os", "ción", "la", "er", "in", "ver", "ment", "te", "ka", "mi", "do", "lu", "ß", "é", "ñ"]
     word = lambda: "".join(rng.choice(syllables, rng.integers(1, 5)))
     say = lambda a, b: " ".join(word() for _ in range(rng.integers(a, b))).capitalize() + ("." if rng.random() < 0.8 else "")
+    name = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 8)))
+    odd = rng.random() < 0.15  # a page whose names say little
+    own = lambda: f' class="{name()}-{name()}"' if odd and rng.random() < 0.5 else ""
     shut = lambda tag: f"</{re.match(r'<(\w+)', tag)[1]}>"
 
     def junk(kind: str) -> str:
@@ -180,18 +210,23 @@ def sample_page(rng: np.random.Generator) -> list[tuple[Block, bool]]:
             body = "".join(f'<div class="{rng.choice(["comment", "reply", "c"])}"><p>{say(3, 50)}</p></div>' for _ in range(rng.integers(1, 5)))
         else:
             text = say(2, 40 if shape == "both" else 14)
+            if kind == "footer" and rng.random() < 0.6:
+                text = rng.choice(["© ", "(c) ", "Copyright "]) + text
             body = rng.choice([text, f"<p>{text}</p>", f"<h3>{say(1, 5)}</h3><p>{text}</p>", f"{text} {link()}"])
+        if odd and tag.endswith('">') and rng.random() < 0.5:
+            tag = f'{tag[:-2]} {name()}">' if rng.random() < 0.5 else f'{tag[:-2]}-{name()}">'
         return tag + body + shut(tag)
 
     def main() -> list[tuple[str, bool]]:
-        out = [(f"<h1>{say(2, 12)}</h1>" if rng.random() < 0.8 else f"<header><h1>{say(2, 9)}</h1></header>", True)] if rng.random() < 0.9 else []
-        for _ in range(rng.integers(1, 14)):
+        out = [(f"<h1{own()}>{say(2, 12)}</h1>" if rng.random() < 0.8 else f"<header{own()}><h1>{say(2, 9)}</h1></header>", True)] if rng.random() < 0.9 else []
+        short = rng.random() < 0.1  # a long page of short paragraphs
+        for _ in range(rng.integers(1, 14) if rng.random() < 0.95 else rng.integers(14, 30)):
             r = rng.random()
-            text = say(2, 12) if rng.random() < 0.25 else say(12, 90)
+            text = say(1, 12) if short or rng.random() < 0.25 else say(12, 90)
             if r < 0.62:
-                out.append((f"<p>{text}</p>" if rng.random() < 0.8 else f"<p><b>{text}<br>", True))
+                out.append((f"<p{own()}>{text}</p>" if rng.random() < 0.8 else f"<p><b>{text}<br>", True))
             elif r < 0.7:
-                out.append((f"<h2>{say(1, 8)}</h2>", True))
+                out.append((f"<h2{own()}>{say(1, 8)}</h2>", True))
             elif r < 0.77:
                 out.append(("<ul>" + "".join(f"<li>{say(2, 20)}</li>" for _ in range(rng.integers(2, 6))) + "</ul>", True))
             elif r < 0.81:
@@ -206,8 +241,13 @@ def sample_page(rng: np.random.Generator) -> list[tuple[Block, bool]]:
                 out.append((junk(rng.choice(["ad", "side", "share", "notice", "form"])), False))
         return out
 
-    root = _ROOTS[rng.integers(len(_ROOTS))]
+    root = _ROOTS[rng.integers(len(_ROOTS) if rng.random() < 0.7 else 2)]
     pieces = [(junk(k), False) for k in ("notice", "header", "nav", "ad", "form", "side") if rng.random() < 0.5]
+    if odd:
+        root = f'<div class="{name()}-{name()}">' if rng.random() < 0.6 else f'{root[:-1]}{own() if "class" not in root else ""}>'
+    wrap = int(rng.integers(1, 4)) if odd else 0
+    around = "".join(f'<div {rng.choice(["class", "id"])}="{name()}{rng.choice(["", "-" + name()])}">' for _ in range(wrap))
+    pieces = [(around, None), *pieces] if rng.random() < 0.5 else [*pieces, (around, None)]
     pieces += [(root, None), *main()]
     if rng.random() < 0.2:
         pieces.append((junk("comments"), False))
@@ -232,11 +272,12 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _cell(w: dict, d: str, x: np.ndarray, mask: np.ndarray, keep: bool):
-    """Run one direction over x (time, batch, DIM); states of absent steps are carried on."""
+def _cell(w: dict, d: str, x: np.ndarray, mask: np.ndarray, keep: bool, state: list | None = None):
+    """Run one direction over x (time, batch, DIM); states of absent steps are carried on, and from one call to
+    the next in ``state``."""
     t_, b, _ = x.shape
     size = w[d + "u"].shape[0]
-    h, c = np.zeros((b, size), np.float32), np.zeros((b, size), np.float32)
+    h, c = state or (np.zeros((b, size), np.float32), np.zeros((b, size), np.float32))
     gates = x.reshape(-1, DIM) @ w[d + "w"] + w[d + "b"]
     gates = gates.reshape(t_, b, -1)
     out, tape = np.zeros((t_, b, size), np.float32), []
@@ -250,6 +291,8 @@ def _cell(w: dict, d: str, x: np.ndarray, mask: np.ndarray, keep: bool):
             tape.append((t, h, c, i, f, o, g, tc, m))
         h, c = m * (o * tc) + (1 - m) * h, m * c2 + (1 - m) * c
         out[t] = h
+    if state is not None:
+        state[:] = h, c
     return out, tape
 
 
@@ -279,7 +322,7 @@ def _padded(pages: list[np.ndarray]):
 
 
 @lru_cache(2)
-def trained(pages: int = 500, epochs: int = 14, size: int = 16, seed: int = 9) -> dict:
+def trained(pages: int = 600, epochs: int = 14, size: int = 16, seed: int = 9) -> dict:
     rng = np.random.default_rng(seed)
     data = [([b for b, _ in p], np.array([y for _, y in p], np.float32)) for p in (sample_page(rng) for _ in range(pages)) if p]
     data = [(features(b), y) for b, y in data]
@@ -316,12 +359,33 @@ def trained(pages: int = 500, epochs: int = 14, size: int = 16, seed: int = 9) -
     return w
 
 
+def _label_long(w: dict, blocks: list[Block], run: int) -> np.ndarray:
+    """A page of any number of blocks, of which the vectors of one run at a time are held."""
+    n, size = len(blocks), w["fu"].shape[0]
+    starts = list(range(0, n, run))
+    back, state = np.zeros((n, size), np.float32), []
+    part = lambda a: features(blocks[a : a + run], a, n)[:, None]
+    for a in reversed(starts):
+        x = part(a)
+        back[a : a + run] = _cell(w, "b", x, np.ones(x.shape[:2], np.float32), False, state)[0][:, 0]
+    out, state = np.zeros(n, np.float32), []
+    for a in starts:
+        x = part(a)
+        ahead = _cell(w, "f", x, np.ones(x.shape[:2], np.float32), False, state)[0][:, 0]
+        out[a : a + run] = _sigmoid(np.concatenate([ahead, back[a : a + run], x[:, 0]], 1) @ w["v"] + w["c"])
+    return out
+
+
 def label(w: dict, pages: list[list[Block]], cells: int = 40_000) -> list[np.ndarray]:
     """Probability of being main text for each block; pages of like length are run together."""
     out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
     while order:
         top = len(pages[order[-1]])
+        if top > cells:
+            i = order.pop()
+            out[i] = _label_long(w, pages[i], cells)
+            continue
         some = order[-max(1, cells // top) :]
         del order[-len(some) :]
         x, mask = _padded([features(pages[i]) for i in some])

@@ -4,7 +4,8 @@ Only DataFrame functions are used. A conversation's rows are first grouped by ru
 one very long conversation is built from bounded pieces formatted in many tasks; the pieces carry
 text and offsets of their own and are only concatenated at the end.
 
-Defined results: null text or part is empty text; null role is the empty role; rows are ordered by
+Defined results: null text, a null part or one of an unknown kind is empty text; an attachment of unknown
+size stands for 0 tokens; null role is the empty role; rows are ordered by
 turn (null first), ties by role, then parts; null conv_id is a conversation of its own; repeated rows
 are turns of their own; an empty table gives no rows; other columns are ignored.
 """
@@ -42,14 +43,24 @@ def text_parts(text: Column) -> Column:
     return F.array(part)
 
 
-def _visit(p: Column) -> Column:
-    """The text that a part leaves in the turn."""
-    kind = p["type"]
-    return (
-        F.when(kind == "text", escape(F.coalesce(p["text"], F.lit(""))))
-        .when(kind.isin("image", "audio", "document"), F.concat(F.lit("<|"), kind, F.lit("|>")))
-        .otherwise(F.lit(""))
-    )
+_FILES = ("image", "audio", "document")
+
+
+def _body(parts: Column) -> Column:
+    """The text that the parts of a turn leave in it. Neighbouring texts are one text before they are escaped,
+    so that no control string forms where they meet; parts of unknown kinds leave nothing."""
+    run = lambda file, text: F.struct(file.alias("file"), text.alias("text"))
+    none = F.array().cast("array<struct<file:string,text:string>>")
+
+    def visit(runs: Column, p: Column) -> Column:
+        text = F.when(p["type"] == "text", F.coalesce(p["text"], F.lit(""))).otherwise(F.lit(""))
+        last = F.try_element_at(runs, F.lit(-1))
+        longer = F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(run(F.lit(None).cast("string"), F.concat(last["text"], text))))
+        return F.when(p["type"].isin(*_FILES), F.concat(runs, F.array(run(p["type"], F.lit(""))))).when((F.size(runs) > 0) & last["file"].isNull(), longer).otherwise(F.concat(runs, F.array(run(F.lit(None).cast("string"), text))))
+
+    said = F.transform(F.aggregate(parts, none, visit), lambda r: F.when(r["file"].isNotNull(), F.concat(F.lit("<|"), r["file"], F.lit("|>"))).otherwise(escape(r["text"])))
+    alone = (F.size(parts) == 1) & (F.try_element_at(parts, F.lit(1))["type"] == "text")
+    return F.when(alone, escape(F.coalesce(F.try_element_at(parts, F.lit(1))["text"], F.lit("")))).otherwise(F.array_join(said, ""))
 
 
 def _tokens(p: Column, patch: int, rate: float, per_page: int) -> Column:
@@ -67,8 +78,8 @@ def format_pieces(df: DataFrame, parts: Column | None = None, *, conv: str = "co
     parts = text_parts(F.col("text")) if parts is None else F.coalesce(parts, F.array().cast(f"array<{PART}>"))
     rows = df.select(F.col(conv).alias("conv_id"), F.floor(F.col(turn) / PIECE).alias("piece"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), parts.alias("parts")).alias("t"))
     rows = rows.groupBy("conv_id", "piece").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    made = F.transform("turns", lambda t: F.struct(F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY)).alias("head"), F.array_join(F.transform(t["parts"], _visit), "").alias("body"), t["role"].isin(*learn).alias("learn")))
-    files = F.flatten(F.transform("turns", lambda t: F.filter(t["parts"], lambda p: p["type"].isin("image", "audio", "document"))))
+    made = F.transform("turns", lambda t: F.struct(F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY)).alias("head"), _body(t["parts"]).alias("body"), t["role"].isin(*learn).alias("learn")))
+    files = F.flatten(F.transform("turns", lambda t: F.filter(t["parts"], lambda p: p["type"].isin(*_FILES))))
     rows = rows.select("conv_id", "piece", made.alias("made"), F.transform(files, lambda p: F.struct(p["type"].alias("kind"), p["ref"].alias("ref"), _tokens(p, patch, rate, per_page).alias("n_tokens"))).alias("attachments"))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 

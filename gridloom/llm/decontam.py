@@ -6,7 +6,7 @@ at least r = ceil(t S) must occur, so one of its S - r + 1 rarest does: only the
 joined. A document's shingles first pass a bit table of the prefix tokens (its size is fixed, not the
 benchmark's), then the join; the token's position in the window fixes where the window would start
 in the document, which gives the length and positional bounds, and the item-sized stretch of the
-document is compared word by word.
+document is compared word by word, as 64-bit hashes of the words.
 
 Defined results: null text has no words; documents and items without words match nothing; items
 shorter than a window are one window; repeated rows and items are each kept and an item id is

@@ -29,7 +29,9 @@ from .langid import held_out
 from .words import SPACED, mix, split
 
 BLOCK = 3_000_000
-POS = 1 << 28
+POS = 1 << 28  # distinct words of a block
+PART = 1 << 12  # blocks of a partition; references are good for 2^23 partitions
+REFS = 1000  # blocks whose references to one word are one row
 CHUNK = 1_000_000
 _BLOCKS = "block long, doc_id array<long>, train array<boolean>, n array<int>, ids binary, n_ids long, h array<long>, c array<long>, letters array<int>"
 _SEQS = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, in_class double, classes binary"
@@ -82,12 +84,15 @@ def _block(shared: int):
     def run(it):
         from pyspark import TaskContext
 
-        key, held, size = TaskContext.get().partitionId() << 16, [], 0
+        key, held, size = TaskContext.get().partitionId() * PART, [], 0
+        last = key + PART - 1
         for b in it:
             w = split(b.column("text"), SPACED)
             held.append((w.hashes(), _letters(w.buf, w.start, w.end, shared), w.count.astype(np.int32), b.column("train").to_numpy(zero_copy_only=False), b.column("doc_id")))
             size += len(w.start)
             if size >= BLOCK:
+                if key == last:
+                    raise ValueError("a partition has too many blocks; read smaller partitions")
                 yield flush(key, held)
                 key, held, size = key + 1, [], 0
         if held:
@@ -264,8 +269,11 @@ def score_corpus(docs: DataFrame, train: Column, *, doc_id: str = "doc_id", text
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     blocks = store.table(d.mapInArrow(_block(shape.shared), _BLOCKS), "blocks")
     entry = blocks.select("block", F.posexplode(F.arrays_zip("h", "c", "letters")).alias("pos", "w"))
-    vocab = entry.groupBy("w.h").agg(F.sum("w.c").alias("c"), F.min("w.letters").alias("letters"), F.collect_list(F.col("block") * POS + F.col("pos")).alias("refs"))
-    vocab = store.table(vocab, "vocab")
+    # a frequent word is in every block: its references are cut into rows of bounded length
+    cuts = max(1, blocks.count() // REFS)
+    refs = entry.groupBy("w.h", F.pmod(F.hash("block"), F.lit(cuts)).alias("cut")).agg(F.sum("w.c").alias("c"), F.min("w.letters").alias("letters"), F.collect_list(F.col("block") * POS + F.col("pos")).alias("refs"))
+    refs = store.table(refs, "references")
+    vocab = refs.select("h", "c", "letters") if cuts == 1 else store.table(refs.groupBy("h").agg(F.sum("c").alias("c"), F.min("letters").alias("letters")), "vocab")
     n_docs = d.where("train").count()
     top = vocab.where("c > 0").orderBy(F.desc("c"), "h").select("h", "c").limit(shape.own).toArrow()
     first = spark.createDataFrame(pa.table({"h": top.column("h"), "own": pa.array(np.arange(top.num_rows), pa.int64())})) if top.num_rows else spark.createDataFrame([], "h long, own long")
@@ -276,18 +284,21 @@ def score_corpus(docs: DataFrame, train: Column, *, doc_id: str = "doc_id", text
         n_in[r["class"] - shape.own], v_in[r["class"] - shape.own], count[r["class"]] = r["c"], r["v"], r["c"]
     count[shape.end] = n_docs
     stats = {"N": int(count.sum()), "V": int(v_in.sum()) + top.num_rows + (n_docs > 0), "docs": n_docs, "n_in": n_in, "v_in": v_in}
-    refs = classed.select("c", "class", F.explode("refs").alias("ref")).select((F.shiftright("ref", 28)).alias("block"), F.col("ref").bitwiseAND(POS - 1).alias("pos"), "c", "class")
+    whole = refs if cuts == 1 else refs.select("h", "refs").join(vocab, "h")
+    named = whole.join(F.broadcast(first), "h", "left").withColumn("class", F.coalesce("own", F.col("letters") + shape.own))
+    refs = named.select("c", "class", F.explode("refs").alias("ref")).select((F.shiftright("ref", 28)).alias("block"), F.col("ref").bitwiseAND(POS - 1).alias("pos"), "c", "class")
     seqs = store.table(blocks.select("block", "doc_id", "train", "n", "ids", "n_ids").groupBy("block").cogroup(refs.groupBy("block")).applyInArrow(_sequences(shape, stats), _SEQS), "sequences")
     model = _first(shape, count, seed)
     for _ in range(rounds if n_docs else 0):
-        shared = spark.sparkContext.broadcast(model)
+        shared = store.share(spark, model)
         got = seqs.where("train").select("classes").mapInArrow(_e_step(shared), "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
         v = np.zeros(shape.states * (1 + shape.states + shape.classes) + 1)
         v[got.column("at").to_numpy()] = got.column("v").to_numpy()
+        store.unshare(shared)
         model = _maximised(shape, v, count)
     if not n_docs:
         model = Hmm(model.start, model.move, np.ones_like(model.emit))
-    shared = spark.sparkContext.broadcast(model)
+    shared = store.share(spark, model)
     out = seqs.select("doc_id", "train", "n_tokens", "n_known", "base_score", "in_class", "classes").mapInArrow(_score(shared), "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "train", "n_tokens", "n_known", F.lit(stats["N"]).cast("long").alias("train_tokens"), "base_score", "score")
 

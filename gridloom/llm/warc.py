@@ -30,7 +30,8 @@ from . import store
 MAGIC_DICT = 0x184D2A5D
 MAGIC_ZSTD = b"\x28\xb5\x2f\xfd"
 ROLL = 128 << 20  # bytes of payload after which a task opens another archive
-_REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
+_REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+_REPEATABLE = "warc-concurrent-to"
 
 
 class WarcError(ValueError):
@@ -39,6 +40,8 @@ class WarcError(ValueError):
 
 @dataclass
 class Record:
+    """Header names are in lower case; the values of the one that may be repeated are joined by spaces."""
+
     headers: dict[str, str]
     block: bytes
 
@@ -63,12 +66,13 @@ def decode(raw: bytes) -> Record:
     headers: dict[str, str] = {}
     for line in lines:
         name, colon, value = line.partition(":")
-        if not colon or not name or name != name.strip() or name in headers:
+        key = name.lower()
+        if not colon or not name or name != name.strip() or (key in headers and key != _REPEATABLE):
             raise WarcError(f"bad header line {line[:80]!r}")
-        headers[name] = value.strip()
+        headers[key] = f"{headers[key]} {value.strip()}" if key in headers else value.strip()
     if missing := [h for h in _REQUIRED if h not in headers]:
         raise WarcError(f"missing headers {missing}")
-    if not headers["Content-Length"].isdigit() or len(rest) != int(headers["Content-Length"]) + 4 or not rest.endswith(b"\r\n\r\n"):
+    if not headers["content-length"].isdigit() or len(rest) != int(headers["content-length"]) + 4 or not rest.endswith(b"\r\n\r\n"):
         raise WarcError("length of the block is not that of its header")
     return Record(headers, rest[:-4])
 
@@ -202,12 +206,14 @@ def _read(folder: str, payloads: bool):
                 with where.open_input_stream(f"{path}/{name}") as f:
                     for r in read_archive(f):
                         n += 1
-                        head, _, payload = r.block.partition(b"\r\n\r\n")
-                        told = next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-                        digest = r.headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if r.headers["WARC-Type"] == "response" and (len(payload) != told or sha1(payload) != digest):
-                            raise WarcError(f"{name}: payload of {r.headers['WARC-Record-ID']} is not that of its headers")
-                        rows.append((r.headers["WARC-Record-ID"], r.headers["WARC-Type"], r.headers.get("WARC-Target-URI"), r.headers.get("WARC-Refers-To"), digest, told, payload if payloads else None))
+                        kind, digest = r.headers["warc-type"].lower(), r.headers.get("warc-payload-digest", "").removeprefix("sha1:")
+                        payload, told = r.block, len(r.block)
+                        if r.headers.get("content-type", "").replace(" ", "").lower().startswith("application/http") and kind in ("response", "revisit"):
+                            head, _, payload = r.block.partition(b"\r\n\r\n")
+                            told = next((int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(payload))
+                        if kind != "revisit" and (len(payload) != told or (digest and sha1(payload) != digest)):
+                            raise WarcError(f"{name}: payload of {r.headers['warc-record-id']} is not that of its headers")
+                        rows.append((r.headers["warc-record-id"], kind, r.headers.get("warc-target-uri"), r.headers.get("warc-refers-to"), digest or sha1(payload), told, payload if payloads else None))
                         size += len(payload)
                         if len(rows) >= 2000 or size > 32 << 20:
                             yield _batch(rows)

@@ -78,3 +78,27 @@ def test_stages(spark):
             assert kept == one_of_each_group(before) and len(after) == len(kept)
         else:
             assert kept == clean(before, items) and len(kept) < len(before)
+
+
+def test_odd_rows_pass_through_the_stages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    plain = [r.text for r in docs.where("length(text) between 300 and 600 and lang = 'en'").orderBy("doc_id").limit(3).collect()]
+    odd = [(None, plain[0], "en"), (None, plain[0], "en"), (90001, plain[1], None), (90001, plain[2], "en"), (90002, None, "en"), (90003, "", None)]
+    odd += [(90010 + i, "Съешь ещё этих мягких французских булок, да выпей же чаю. Широкая электрификация южных губерний даст мощный толчок " + "подъёму сельского хозяйства " * i, None) for i in range(1, 6)]
+    odd = spark.createDataFrame([(*r, 1, 2, 3) for r in odd], "doc_id long, text string, lang string, _key int, low int, size int")
+    more = ["_key", "low", "size"]
+    before = docs.selectExpr("*", *[f"0 AS {c}" for c in more]).unionByName(odd)
+    kept = corpus_pipeline.language(spark, before, SMALL)
+    assert kept.columns == before.columns
+    kept = {r.doc_id for r in kept.collect()}
+    assert not kept & set(range(90011, 90016)) and 90002 not in kept and len(kept) > 0.99 * docs.count() - 10
+    apart = odd.where("doc_id is null or doc_id <= 90003")
+    one = corpus_pipeline.near_duplicates(spark, apart, SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in one) == sorted([(0, plain[0]), (90001, plain[1]), (90001, plain[2]), (90002, ""), (90003, "")])
+    again = odd.where("doc_id is null").unionByName(odd.where("doc_id is null").selectExpr("90005L AS doc_id", "text", "lang", *more))
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, again, SMALL).collect()] == [90005]
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "best_fit_packing":
+            got = stage(spark, before.limit(0), SMALL)
+            assert got.columns == before.columns and got.count() == 0
+    assert corpus_pipeline.quality(spark, before, SMALL).where("text is null").count() == 0

@@ -108,3 +108,44 @@ def test_small_classes_take_the_bounds_of_their_language(spark):
     got = {r.doc_id: r for r in kneser.classify(df, df.where("doc_id < 310").select("doc_id")).collect()}
     assert max(got[i].high for i in range(150, 160)) < min(got[i].perplexity for i in range(160, 310))
     assert all(got[i].kept for i in range(160)) and not got[310].kept
+
+
+def test_bad_texts_are_rejected(spark):
+    small = "/root/testdata/sf0.01"
+    got = kneser.query(spark, small).join(spark.read.parquet(f"{small}/labels.parquet"), "doc_id").select("quality", "kept").toPandas()
+    assert (~got[got.quality == 0].kept).mean() > 0.9 and got[got.quality == 1].kept.mean() > 0.99
+
+
+def test_probabilities_against_plain_kneser_ney(spark):
+    texts = ["abracadabra alakazam", "banana bandana", "abba", "salamander abracadabra", "a", "cabana banana abacus"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    grams = Counter()
+    for t in texts:
+        b = b"\0" * 4 + t.encode()
+        grams.update(b[i : i + 5] for i in range(len(b) - 4))
+    counts = {5: grams}
+    for n in (4, 3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    off = {}
+    for n, c in counts.items():
+        k = [sum(v == j for v in c.values()) for j in (1, 2, 3, 4)]
+        y = k[0] / (k[0] + 2 * k[1]) if k[0] else 0
+        off[n] = [0.5, 0.75, 0.9] if min(k[:3]) == 0 else [min(j - 1e-3, max(1e-3, j - (j + 1) * y * k[j] / k[j - 1])) for j in (1, 2, 3)]
+
+    def prob(g):
+        if not g:
+            return 1 / 256
+        n, ctx = len(g), g[:-1]
+        same = {h: v for h, v in counts[n].items() if h[:-1] == ctx}
+        if not same:
+            return prob(g[1:])
+        d = lambda v: off[n][min(v, 3) - 1]
+        c, total = counts[n].get(g, 0), sum(same.values())
+        return ((c - d(c)) if c else 0) / total + sum(map(d, same.values())) / total * prob(g[1:])
+
+    model = kneser.train(df.select("text"))
+    new = [*texts, "abracadabana", "zebra", "banana abba alakazam ü"]
+    out = kneser.perplexities(spark.createDataFrame([(i, t) for i, t in enumerate(new)], "doc_id long, text string"), model).collect()
+    for r in out:
+        b = b"\0" * 4 + new[r.doc_id].encode()
+        assert r.log10_prob == pytest.approx(sum(log10(prob(b[i : i + 5])) for i in range(len(b) - 4)), abs=1e-3)
