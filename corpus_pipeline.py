@@ -40,10 +40,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, store.settled(bad, "rejected"))
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str, quantile: float = 0.0005, slack: float = 0.8, least: int = 100, bounds: tuple[int, ...] = (64, 512)) -> DataFrame:
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, quantile: float = 0.0005, slack: float = 0.8, least: int = 20, bounds: tuple[int, ...] = (64, 512)) -> DataFrame:
     """Texts without letters go, and those whose calibrated score stands out as low: under ``slack`` times the
     ``quantile`` of the scores of labelled texts that the model has not seen, of the same predicted
-    language and length (``bounds`` in bytes), or of that language where there are under ``least``."""
+    language and length (``bounds`` in bytes); where there are under ``least`` those of the length over all
+    languages hold, then all."""
 
     def bad():
         seen = ~langid.held_out("doc_id", 4)
@@ -51,10 +52,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str, quantile: float
         out = store.table(langid.predict(own, langid.fit(own, seen), keep=("doc_id", "text_key", "new", "size")), "languages")
         low = F.percentile_approx("score", quantile, 100_000)
         known = out.where("new and lang_pred <> 'und'")
-        near = known.groupBy("lang_pred", "size").agg(low.alias("low"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
-        wide = known.groupBy("lang_pred").agg(low.alias("any"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
-        out = out.join(F.broadcast(near), ["lang_pred", "size"], "left").join(F.broadcast(wide), "lang_pred", "left")  # a row for each language
-        return out.where((F.col("lang_pred") == "und") | (F.col("score") < slack * F.coalesce("low", "any", F.lit(0.0)))).select("doc_id", "text_key").distinct()
+        near = known.groupBy("lang_pred", "size").agg(low.alias("own"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+        wide = known.groupBy("size").agg(low.alias("like"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+        # a row for each language and length
+        out = out.join(F.broadcast(near), ["lang_pred", "size"], "left").join(F.broadcast(wide), "size", "left").crossJoin(F.broadcast(known.agg(low.alias("any"))))
+        return out.where((F.col("lang_pred") == "und") | (F.col("score") < slack * F.coalesce("own", "like", "any", F.lit(0.0)))).select("doc_id", "text_key").distinct()
 
     return _without(docs, store.settled(bad, "rejected"))
 
