@@ -19,6 +19,17 @@ def require_empty(violations: DataFrame, what: str) -> None:
         raise CheckFailed(f"{what}: {[r.asDict() for r in rows]}")
 
 
+def require_rows(df: DataFrame, what: str) -> None:
+    if not df.take(1):
+        raise CheckFailed(f"{what}: missing or empty")
+
+
+def null_counts(panel: DataFrame, *values: str) -> DataFrame:
+    """Per value of a panel how many cells have none, and how many cells there are."""
+    stacked = F.explode(F.array(*[F.struct(F.lit(v).alias("measure"), F.col(v).isNull().alias("none")) for v in values]))
+    return panel.select(stacked.alias("x")).groupBy("x.measure").agg(F.count_if("x.none").alias("n_null"), F.count("*").alias("n_all"))
+
+
 def blank_names(namechange: DataFrame) -> DataFrame:
     return namechange.where(on_main_exchanges() & (F.col("name").isNull() | (trimmed("name") == ""))).select("ts_code", "ann_date")
 

@@ -45,7 +45,7 @@ def slumps(index_daily: DataFrame, days: int = 3, worst: int = 10) -> DataFrame:
     def pick(frame: pd.DataFrame) -> pd.DataFrame:
         taken: list[int] = []
         keep = []
-        for i, p in frame.sort_values(["ret", "trade_date"])["pos"].items():
+        for i, p in frame.assign(near=frame["ret"].round(12)).sort_values(["near", "trade_date"])["pos"].items():
             if len(taken) < worst and all(abs(p - q) >= days for q in taken):
                 taken.append(p)
                 keep.append(i)

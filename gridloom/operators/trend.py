@@ -37,6 +37,11 @@ def trends(close: DataFrame, specs: dict[int, str] | None = None) -> DataFrame:
     return rows.select("trade_date", "ts_code", *[(point_trend if k == "point" else ols_trend)(px, h).alias(f"tr_{h}") for h, k in specs.items()])
 
 
+def behind(close: DataFrame, old: DataFrame) -> bool:
+    """Whether ``close`` has days or codes that ``old`` lacks."""
+    return any(close.select(c).distinct().join(old.select(c).distinct(), c, "left_anti").take(1) for c in ("trade_date", "ts_code"))
+
+
 def append_trends(close: DataFrame, old: DataFrame, specs: dict[int, str] | None = None) -> DataFrame:
     """Rows to add to ``old``: the tail of known codes, computed with the lookback the longest
     horizon needs, and the whole history of new codes. Old rows stay as they are. ``old`` must be a

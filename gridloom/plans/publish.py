@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
@@ -10,15 +12,21 @@ from ..operators.grid import grid
 from ..sources import export, tables
 
 
+log = logging.getLogger(__name__)
+
+
 def full_grid(t: dict[str, DataFrame]) -> DataFrame:
     return grid(t["daily"], a=(t["adj_factor"], ("adj_factor",)), l=(t["stk_limit"], ("up_limit", "down_limit")), b=(t["daily_basic"], ("circ_mv", "turnover_rate_f")))
 
 
-def publish(spark: SparkSession, root: str, out: str, wide: bool = False) -> dict[str, str]:
+def publish(spark: SparkSession, root: str, out: str, wide: bool = False, measures: tuple[str, ...] = S.MEASURES) -> dict[str, str]:
     """Derive every panel of the tables below ``root`` and write it below ``out``: long Parquet, and
     wide tables on demand. Trends are appended to what ``out`` already holds; responses are always
-    computed anew, since their tail fills in later. The grid is written once and read by all."""
+    computed anew, since their tail fills in later. The grid is written once and read by all. Of ``measures``
+    those are published that the grid has."""
     t = {n: tables.read(spark, root, n) for n in S.TABLES}
+    for name in ("daily", "index_daily"):
+        checks.require_rows(t[name], name)
     checks.require_empty(checks.blank_names(t["namechange"]), "blank names")
     checks.require_empty(checks.duplicate_codes(t["stock_list"]), "codes listed twice")
     checks.require_empty(checks.index_calendar(t["daily"], t["index_daily"]), "index calendars")
@@ -39,7 +47,7 @@ def publish(spark: SparkSession, root: str, out: str, wide: bool = False) -> dic
         "roc": ("roc_1_disc", keep(market.roc_disc(cells), "features/close_ROC_1_disc")),
     }
     keep(status.status_codes(spark), "status/status_codes")
-    for m in ("amount", "circ_mv", "turnover_rate_f"):
+    for m in (m for m in measures if m in cells.columns):
         panels[m] = (m, keep(adjust.passthrough(cells, m), f"processed/{m}"))
     keep(market.board(t["daily"]).orderBy("ts_code"), "features/market/board")
     for i in S.MARKET_INDEXES:
@@ -52,8 +60,10 @@ def publish(spark: SparkSession, root: str, out: str, wide: bool = False) -> dic
     if tables.exists(spark, path):
         old = spark.read.parquet(path)
         checks.require_empty(checks.prefix_violations(old, close), "trends are no prefix")
-        fresh = trend.append_trends(close, old)
-        fresh.write.mode("append").parquet(path)
+        if trend.behind(close, old):
+            trend.append_trends(close, old).write.mode("append").parquet(path)
+        else:
+            log.info("%s is up to date", path)
     else:
         trend.trends(close).write.parquet(path)
     written["features/trends"] = path

@@ -53,6 +53,29 @@ def _upserted(s, d):
     return tables.merged(old, orders.select("o_custkey", "day", "cents", "seq"), ("o_custkey", "day"), "seq")
 
 
+def _lists(s, d):
+    """The listed, delisted and paused lists, fetched apart."""
+    rows = load(s, d, "stock_list").withColumn("list_status", F.when(F.col("list_status") == "D", "d").otherwise(F.col("list_status")))
+    return ingest.stock_list([rows.where("list_status = 'L'"), rows.where("list_status = 'd'"), rows.where("list_status = 'P'")])
+
+
+def _ledger(s, d):
+    old = load(s, d, "download_status")
+    new = old.where("status = 'failed'").withColumn("status", F.lit("success"))
+    return tables.merged(old, new, S.PRIMARY_KEYS["download_status"])
+
+
+def _calendar(s, d):
+    return load(s, d, "download_status").select(F.col("logical_date").alias("cal_date"), F.when(F.col("status") == "empty", 0).otherwise(1).alias("is_open"))
+
+
+def _appended(s, d):
+    """Trends of the first 200 days for all codes but those ending in 0, and what is added to them."""
+    px, spec = close(s, d), {10: S.TRENDS[10]}
+    old = trend.trends(px.where("pos <= 200 and ts_code not like '%0.S_'"), spec)
+    return _rounded(old.unionByName(trend.append_trends(px, old, spec)), "tr_10")
+
+
 def _candidates(s, d):
     return ingest.calendar_days(s, "19950101", "20021231")
 
@@ -82,6 +105,11 @@ QUERIES = {
     "dq_limit_conflict": lambda s, d: checks.limit_conflicts(cells(s, d, "stk_limit").withColumn("down_limit", F.col("up_limit"))),
     "dq_roc_range": lambda s, d: checks.roc_out_of_range(market.roc_disc(cells(s, d))),
     "dq_index_calendar": lambda s, d: checks.index_calendar(load(s, d, "daily"), load(s, d, "index_daily").where("ts_code <> '399006.SZ' or pct_chg > 0")),
+    "dq_null_counts": lambda s, d: checks.null_counts(market.roc_disc(cells(s, d)), "roc_1_disc"),
+    "stock_lists": _lists,
+    "ledger_upsert": _ledger,
+    "trading_days": lambda s, d: ingest.trading_days(_calendar(s, d)),
+    "trends_appended": _appended,
     "wide_close": lambda s, d: export.wide(load(s, d, "index_daily"), "pct_chg"),
     "wide_st": lambda s, d: export.long(export.wide(st(s, d), "st"), "st"),
     "breadth": lambda s, d: _rounded(_breadth(s, d), "mean_chg", "median_chg", "share_crash", "share_fall"),
@@ -159,6 +187,18 @@ ORACLE = {
     "dq_limit_conflict": oracle("SELECT trade_date, ts_code FROM cell WHERE up_limit < 999999 AND close = up_limit", *_AT, more=_GRID),
     "dq_roc_range": oracle(f"SELECT * FROM (SELECT trade_date, ts_code, {_ROC} AS roc_1_disc FROM cell) WHERE abs(roc_1_disc) > 20", *_AT, more=_GRID),
     "dq_index_calendar": oracle("SELECT * FROM (SELECT '399006.SZ' AS ts_code, (SELECT count(*) FROM index_daily WHERE ts_code = '399006.SZ' AND pct_chg > 0) AS n_index, (SELECT count(DISTINCT trade_date) FROM bars) AS n_days) WHERE n_index <> n_days", *_AT, "index_daily"),
+    "dq_null_counts": oracle(f"SELECT 'roc_1_disc' AS measure, count(*) FILTER (WHERE roc_1_disc IS NULL) AS n_null, count(*) AS n_all FROM (SELECT {_ROC} AS roc_1_disc FROM cell)", *_AT, more=_GRID),
+    "stock_lists": oracle("SELECT ts_code, name, industry, list_status, list_date, delist_date FROM stock_list WHERE ts_code NOT LIKE '%BJ%'", "stock_list"),
+    "ledger_upsert": oracle("SELECT dataset, logical_date, CASE status WHEN 'failed' THEN 'success' ELSE status END AS status FROM download_status", "download_status"),
+    "trading_days": oracle("SELECT logical_date FROM download_status WHERE status <> 'empty'", "download_status"),
+    "trends_appended": _tr(10, S.TRENDS[10]),
+    "slumps": oracle("""SELECT ts_code, trade_date, round(ret, 4) + 0.0 AS ret, n AS rank FROM taken WHERE n > 0""", "index_daily", more="""chained AS (SELECT ts_code, trade_date, pos, ret FROM (
+ SELECT ts_code, trade_date, row_number() OVER w AS pos, count(pct_chg) OVER f AS k, exp(sum(ln(1 + greatest(pct_chg::double / 100, -0.999999::double))) OVER f) - 1 AS ret FROM index_daily
+ WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date), f AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) WHERE k = 3),
+taken AS (SELECT DISTINCT ts_code, 0 AS n, CAST([] AS BIGINT[]) AS days, CAST(NULL AS date) AS trade_date, CAST(NULL AS double) AS ret FROM chained
+ UNION ALL SELECT t.ts_code, t.n + 1, list_append(t.days, c.pos), c.trade_date, c.ret FROM taken t JOIN chained c ON c.ts_code = t.ts_code
+ WHERE t.n < 10 AND len(list_filter(t.days, lambda q: abs(q - c.pos) < 3)) = 0
+ QUALIFY row_number() OVER (PARTITION BY t.ts_code ORDER BY round(c.ret, 12), c.trade_date) = 1)""").replace("WITH ", "WITH RECURSIVE ", 1),
     "wide_close": oracle('SELECT trade_date, max(pct_chg) FILTER (WHERE ts_code = \'000001.SH\') AS "000001.SH", max(pct_chg) FILTER (WHERE ts_code = \'399006.SZ\') AS "399006.SZ" FROM index_daily GROUP BY 1', "index_daily"),
     "wide_st": oracle("SELECT trade_date, ts_code, st FROM stat", *_AT, "stock_list", "namechange", more=_GRID + _ST),
     "breadth": oracle("SELECT trade_date, mkt_index, n, round(mean_chg, 4) + 0.0 AS mean_chg, round(median_chg, 4) + 0.0 AS median_chg, round(share_crash, 4) AS share_crash, round(share_fall, 4) AS share_fall FROM br", *_AT, more=_GRID + _BREADTH),

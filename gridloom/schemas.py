@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
 KEY = ("ts_code", "trade_date")
@@ -28,7 +30,23 @@ TABLES: dict[str, T.StructType] = {
 }
 PRIMARY_KEYS = {t: KEY for t in ("daily", "index_daily", "adj_factor", "daily_basic", "stk_limit")} | {"namechange": ("ts_code", "ann_date"), "download_status": ("dataset", "logical_date"), "stock_list": ("ts_code",)}
 
+
+
+class Dataset(NamedTuple):
+    """What is fetched date by date into a table: on trading days, else on all days."""
+
+    table: str
+    on_trading_days: bool
+
+    @property
+    def fields(self) -> list[str]:
+        return TABLES[self.table].names
+
+
 # Fixed values.
+DATASETS = {t: Dataset(t, t != "namechange") for t in ("daily", "adj_factor", "daily_basic", "stk_limit", "namechange")} | {i: Dataset("index_daily", True) for i in ("000001.SH", "399001.SZ", "399006.SZ")}
+LIST_STATUS = ("L", "D", "P")
+MEASURES = ("amount", "circ_mv", "turnover_rate_f")
 ST_UNLISTED, ST_NORMAL, ST_ST, ST_STAR, ST_LEAVING, ST_DELISTED = "-2", "0", "2", "4", "5", "6"
 NO_LIMIT_FROM = 999999.0
 CAP_SMALL, CAP_LARGE = 0.20, 0.90

@@ -38,8 +38,16 @@ def resume_date(ledger: DataFrame, dataset: str, default: str = "20140101") -> D
     return completed(ledger, dataset).agg(F.coalesce(F.max("logical_date"), F.lit(default)).alias("resume_date"))
 
 
+def trading_days(calendar: DataFrame) -> DataFrame:
+    """Open days of a calendar (cal_date as YYYYMMDD text, is_open 0 or 1), ascending."""
+    return calendar.where(F.col("is_open").cast("int") == 1).select(F.col("cal_date").cast("string").alias("logical_date")).distinct().orderBy("logical_date")
+
+
 def yyyymmdd(text: str | Column) -> Column:
-    return F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date")
+    """The date; null or blank text is null, any other text an error."""
+    c = F.col(text) if isinstance(text, str) else text
+    day = F.try_to_timestamp(c, F.lit("yyyyMMdd")).cast("date")
+    return F.when(day.isNull() & (F.trim(c) != ""), F.raise_error(F.concat(F.lit("not a YYYYMMDD date: "), c)).cast("date")).otherwise(day)
 
 
 def typed(rows: DataFrame, table: str, *more: str) -> DataFrame:
@@ -58,14 +66,17 @@ def typed(rows: DataFrame, table: str, *more: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, root: str, dataset: str, table: str, dates: Iterable[str], fetch: Fetch, pause: float = 0.0) -> dict[str, str]:
-    """Fetch each date on its own: a failure is noted and the others go on. Data are written first
-    and the ledger last, so a crash between the two only repeats an upsert."""
+    """Fetch each date on its own: a failure is noted and the others go on. What was fetched is written month
+    by month, data first and the ledger last, so a crash repeats a month at most."""
     if table not in S.TABLES:
         raise ValueError(f"unknown table {table!r}")
-    frames, notes = [], []
+    frames, notes, done = [], [], {}
     for date in dates:
         if len(date) != 8 or not date.isdigit():
             raise ValueError(f"not a YYYYMMDD date: {date!r}")
+        if notes and notes[-1][1][:6] != date[:6]:
+            done |= _flush(spark, root, table, frames, notes)
+            frames, notes = [], []
         try:
             got = fetch(date)
             got = got if isinstance(got, pd.DataFrame) else pd.DataFrame(list(got or []))
@@ -76,8 +87,12 @@ def ingest(spark: SparkSession, root: str, dataset: str, table: str, dates: Iter
             log.warning("%s %s failed: %s", dataset, date, e)
             notes.append((dataset, date, "failed", 0, str(e)[:500]))
         time.sleep(pause)
+    return done | _flush(spark, root, table, frames, notes)
+
+
+def _flush(spark: SparkSession, root: str, table: str, frames: list[pd.DataFrame], notes: list[tuple]) -> dict[str, str]:
     if frames:
-        batch = pd.concat(frames, ignore_index=True)
+        batch = pd.concat(frames, ignore_index=True).dropna(axis=1, how="all")  # columns without a value have no type
         batch["_n"] = range(len(batch))
         tables.upsert(spark, root, table, typed(spark.createDataFrame(batch), table, "_n"), "_n")
     if notes:
@@ -86,6 +101,35 @@ def ingest(spark: SparkSession, root: str, dataset: str, table: str, dates: Iter
     return {n[1]: n[2] for n in notes}
 
 
+class Source:
+    """A vendor: rows of a dataset for a YYYYMMDD date, its calendar, its lists of securities."""
+
+    def fetch(self, dataset: str, date: str, fields: list[str]) -> pd.DataFrame | Iterable[dict] | None:
+        raise NotImplementedError
+
+    def trading_days(self, first: str, last: str) -> Iterable[dict]:
+        """Rows with cal_date and is_open."""
+        raise NotImplementedError
+
+    def stocks(self, list_status: str) -> Iterable[dict]:
+        raise NotImplementedError
+
+
+def update(spark: SparkSession, root: str, source: Source, first: str, last: str, pause: float = 0.0) -> dict[str, dict[str, str]]:
+    """Bring every dataset up to date for the days from ``first`` to ``last``, then the list of securities;
+    what became of each missing date, by dataset. A dataset without missing dates is left alone."""
+    text = lambda rows, *names: spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], ", ".join(f"{n} string" for n in names))
+    open_days = trading_days(text(source.trading_days(first, last), "cal_date", "is_open"))
+    out = {}
+    for name, d in S.DATASETS.items():
+        days = open_days if d.on_trading_days else calendar_days(spark, first, last)
+        todo = [r[0] for r in missing_dates(days, tables.read(spark, root, "download_status"), name).orderBy("logical_date").collect()]  # days
+        out[name] = ingest(spark, root, name, d.table, todo, lambda day, n=name, f=d.fields: source.fetch(n, day, f), pause)
+    lists = [text(source.stocks(s), *S.TABLES["stock_list"].names) for s in S.LIST_STATUS]
+    tables.replace(spark, root, "stock_list", stock_list(lists))
+    return out
+
+
 def stock_list(batches: list[DataFrame]) -> DataFrame:
     """Union of the listed, delisted and paused lists in the table's form: other exchanges out, status
     letters in upper case, by code. A list that could not be fetched must fail the caller: replacing

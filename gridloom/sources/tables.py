@@ -27,18 +27,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _aside(path: str) -> str:
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/_old-{name}"
+
+
 def _move(spark: SparkSession, src: str, dst: str) -> None:
+    """Swap ``src`` in for ``dst``. The old folder is moved aside first and removed last, so a crash leaves one
+    of the two, which ``_settle`` puts back."""
     fs, p = _fs(spark, src)
-    q = _fs(spark, dst)[1]
-    if fs.exists(q):
-        fs.delete(q, True)
+    q, old = _fs(spark, dst)[1], _fs(spark, _aside(dst))[1]
+    _settle(spark, dst)
+    if fs.exists(q) and not fs.rename(q, old):
+        raise OSError(f"cannot move {dst} aside")
     if not fs.rename(p, q):
         raise OSError(f"cannot move {src} to {dst}")
+    fs.delete(old, True)
+
+
+def _settle(spark: SparkSession, path: str) -> None:
+    fs, old = _fs(spark, _aside(path))
+    if fs.exists(old):
+        q = _fs(spark, path)[1]
+        fs.delete(old, True) if fs.exists(q) else fs.rename(old, q)
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The table with its fixed schema; an empty one if nothing has been written."""
     path, schema = f"{root}/{name}", S.TABLES[name]
+    _settle(spark, path)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -50,19 +67,20 @@ def latest(df: DataFrame, key: tuple[str, ...], order: str = "_seq") -> DataFram
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", order)
 
 
-def merged(old: DataFrame, new: DataFrame, key: tuple[str, ...], order: str | None = None) -> DataFrame:
-    """Upsert: new rows replace old ones; within the batch the greatest ``order`` wins, else the row
-    that was read last."""
-    seq = F.struct(F.lit(1).alias("new"), (F.col(order) if order else F.monotonically_increasing_id()).cast("long").alias("n"))
-    a = old.withColumn("_seq", F.struct(F.lit(0).alias("new"), F.lit(0).cast("long").alias("n")))
+def merged(old: DataFrame, new: DataFrame, key: tuple[str, ...], *order: str) -> DataFrame:
+    """Upsert: new rows replace old ones; within the batch the greatest ``order`` (columns of whole numbers)
+    wins, else the row that was read last."""
+    by = [F.col(c).cast("long") for c in order] or [F.monotonically_increasing_id()]
+    seq = F.struct(F.lit(1).alias("new"), F.array(*by).alias("n"))
+    a = old.withColumn("_seq", F.struct(F.lit(0).alias("new"), F.array(F.lit(0).cast("long")).alias("n")))
     return latest(a.unionByName(new.withColumn("_seq", seq).select(*old.columns, "_seq")), key)
 
 
-def upsert(spark: SparkSession, root: str, name: str, new: DataFrame, order: str | None = None) -> None:
+def upsert(spark: SparkSession, root: str, name: str, new: DataFrame, *order: str) -> None:
     key, stage = S.PRIMARY_KEYS[name], f"{root}/_stage-{uuid.uuid4().hex}"
     old = read(spark, root, name)
     if name not in _MONTH:
-        merged(old, new, key, order).write.parquet(stage)
+        merged(old, new, key, *order).write.parquet(stage)
         return _move(spark, stage, f"{root}/{name}")
     month = F.date_format(_MONTH[name], "yyyy-MM")
     new.write.parquet(f"{stage}/new")
@@ -71,7 +89,7 @@ def upsert(spark: SparkSession, root: str, name: str, new: DataFrame, order: str
     if touched:
         if exists(spark, f"{root}/{name}"):
             old = spark.read.schema(f"{S.TABLES[name].simpleString()[7:-1].replace(':', ' ')}, month string").parquet(f"{root}/{name}").where(F.col("month").isin(touched)).drop("month")
-        out = merged(old, new, key, order).withColumn("month", F.date_format(_MONTH[name], "yyyy-MM"))
+        out = merged(old, new, key, *order).withColumn("month", F.date_format(_MONTH[name], "yyyy-MM"))
         out.write.partitionBy("month").parquet(f"{stage}/out")
         ready = spark.read.schema(out.schema).parquet(f"{stage}/out")
         ready.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{root}/{name}")

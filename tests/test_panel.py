@@ -12,7 +12,7 @@ from gridloom.plans import publish
 from gridloom.sources import export, ingest, tables
 from gridloom.streaming import upserts
 
-DAYS = [d.date() for d in pd.bdate_range("2020-01-01", periods=80)]
+DAYS = [d.date() for d in pd.bdate_range("2021-03-01", periods=80)]
 
 
 def frame(spark, table, rows):
@@ -25,35 +25,42 @@ def bars(spark, cells):
 
 
 @pytest.fixture(scope="module")
-def delisting(spark):
-    low = lambda i: 0.5 + 0.005 * i
-    plain = lambda i: 10.0 + i
-    stocks = {"000001.SZ": (0, None, plain), "000002.SZ": (2, 50, low), "000003.SZ": (0, 50, plain), "000004.SZ": (0, None, low), "000005.SZ": (0, 79, plain)}
-    daily = bars(spark, [(c, i, f(i)) for c, (a, b, f) in stocks.items() for i in range(a, b or 80) if not (c == "000003.SZ" and i in (48, 49))])
-    listed = frame(spark, "stock_list", [{"ts_code": c, "list_date": DAYS[a], "delist_date": DAYS[b] if b else None} for c, (a, b, _) in stocks.items()])
-    names = frame(spark, "namechange", [{"ts_code": c, "name": n, "ann_date": DAYS[i]} for c, i, n in [("000002.SZ", 5, "*ST测试"), ("000002.SZ", 8, "测试退"), ("000002.SZ", 51, "普通名称"), ("000003.SZ", 8, "退测试"), ("000004.SZ", 8, "退测试")]])
+def market_of_four(spark):
+    """A steady share, one that is renamed twice and leaves, one that stops trading before it leaves, and one
+    that is about to leave and stays."""
+    price = {"600711.SH": lambda i: 20 + 0.5 * i, "002345.SZ": lambda i: 3 - 0.02 * i, "300456.SZ": lambda i: 7 + 0.1 * i, "688999.SH": lambda i: 2 + 0.03 * i}
+    traded = {"600711.SH": range(72), "002345.SZ": range(3, 44), "300456.SZ": range(57), "688999.SH": range(1, 72)}
+    daily = bars(spark, [(c, i, float(price[c](i))) for c, days in traded.items() for i in days])
+    ends = {"002345.SZ": 44, "300456.SZ": 60}
+    listed = frame(spark, "stock_list", [{"ts_code": c, "list_date": DAYS[days[0]], "delist_date": DAYS[ends[c]] if c in ends else None} for c, days in traded.items()])
+    events = {"002345.SZ": {6: "ST河马", 12: "河马退", 45: "河马"}, "300456.SZ": {10: "*ST海风"}, "688999.SH": {10: "退海风"}}
+    names = frame(spark, "namechange", [{"ts_code": c, "ann_date": DAYS[i], "name": n} for c, e in events.items() for i, n in e.items()])
     cells = grid(daily)
     st = status.st_status(cells, daily, listed, names)
-    at = {(r.ts_code, DAYS.index(r.trade_date)): r.st for r in st.collect()}
-    rr = {(r.ts_code, DAYS.index(r.trade_date)): r for r in response.responses(cells, st).collect()}
-    return at, rr
+    day = DAYS.index
+    at = {(r.ts_code, day(r.trade_date)): r.st for r in st.collect()}
+    ahead = {(r.ts_code, day(r.trade_date)): r for r in response.responses(cells, st).collect()}
+    return price, at, ahead
 
 
-def test_status_by_announcement_and_delisting(delisting):
-    at, _ = delisting
-    assert [at["000002.SZ", i] for i in (0, 6, 7, 8, 39, 50, 51, 79)] == ["-2", "4", "4", "5", "5", "6", "6", "6"]
-    assert at["000003.SZ", 8] == at["000004.SZ", 8] == at["000004.SZ", 79] == "5"
+def test_a_status_follows_names_until_the_end(market_of_four):
+    _, at, _ = market_of_four
+    runs = {("002345.SZ", 0, 2): "-2", ("002345.SZ", 6, 11): "2", ("002345.SZ", 12, 43): "5", ("002345.SZ", 44, 71): "6", ("300456.SZ", 10, 59): "4", ("300456.SZ", 60, 71): "6", ("688999.SH", 0, 0): "-2", ("688999.SH", 10, 71): "5"}
+    for (code, first, last), want in runs.items():
+        assert {at[code, i] for i in range(first, last + 1)} == {want}, code
 
 
-@pytest.mark.parametrize("h", [3, 10, 30])
-def test_forward_returns(delisting, h):
-    _, rr = delisting
-    get = lambda c, i: rr[c, i][f"rr_{h}"]
-    for c in ("000002.SZ", "000004.SZ"):
-        assert get(c, 8) == pytest.approx((0.5 + 0.005 * (8 + h)) / 0.54 - 1, abs=1e-6)
-    assert get("000002.SZ", 50 - h) == get("000003.SZ", 50 - h) == get("000005.SZ", 79 - h) == -1
-    assert all(get(c, i) is None for i, c in ((0, "000002.SZ"), (49, "000003.SZ"), (50, "000002.SZ"), (79, "000001.SZ")))
-    assert get("000001.SZ", 8) == pytest.approx((18 + h) / 18 - 1, abs=1e-6)
+@pytest.mark.parametrize("h", list(S.RESPONSES))
+def test_returns_look_ahead_and_end_in_a_loss(market_of_four, h):
+    price, _, ahead = market_of_four
+    get = lambda c, i: ahead[c, i][f"rr_{h}"]
+    for code, i in (("600711.SH", 20), ("600711.SH", 0), ("688999.SH", 25)):
+        assert get(code, i) == pytest.approx(price[code](i + h) / price[code](i) - 1, rel=1e-4)
+    if h < 30:
+        assert get("002345.SZ", 12) == pytest.approx(price["002345.SZ"](12 + h) / price["002345.SZ"](12) - 1, rel=1e-4)
+    assert get("002345.SZ", 44 - h) == -1 and (h == 3 or get("300456.SZ", 60 - h) == -1)
+    for code, i in (("002345.SZ", 1), ("002345.SZ", 50), ("300456.SZ", 58), ("600711.SH", 71)):
+        assert get(code, i) is None
 
 
 def test_code_table(spark):
@@ -147,6 +154,50 @@ def test_ingest_ledger_and_replay(spark, tmp_path):
     assert ingest.resume_date(tables.read(spark, root, "download_status"), "other").first()[0] == "20140101"
     with pytest.raises(ValueError):
         ingest.ingest(spark, root, "daily", "daily", ["2020-01-02"], fetch)
+    bad = spark.createDataFrame([("a", "20200230")], "ts_code string, trade_date string")
+    with pytest.raises(Exception, match="not a YYYYMMDD date"):
+        ingest.typed(bad, "daily").collect()
+
+
+class Vendor(ingest.Source):
+    def fetch(self, dataset, day, fields):
+        if dataset == "stk_limit" and day == "20200103":
+            raise OSError("down")
+        rows = {"trade_date": day, "ann_date": day, "start_date": None, "ts_code": dataset if dataset in S.DATASETS and S.DATASETS[dataset].table == "index_daily" else "600711.SH"}
+        return [{f: rows.get(f, 1.0 if f not in ("name", "change_reason") else "n") for f in fields}]
+
+    def trading_days(self, first, last):
+        return [{"cal_date": d, "is_open": int(d != "20200104")} for d in ("20200103", "20200102", "20200104") if first <= d <= last]
+
+    def stocks(self, list_status):
+        code = {"L": "600711.SH", "D": "600712.SH", "P": "830001.BJ"}[list_status]
+        return [{"ts_code": code, "name": "n", "list_status": list_status.lower() if list_status == "D" else list_status, "list_date": "20000101", "delist_date": None}]
+
+
+def test_all_datasets_are_brought_up_to_date(spark, tmp_path):
+    root = str(tmp_path)
+    got = ingest.update(spark, root, Vendor(), "20200101", "20200105")
+    assert got["daily"] == {"20200102": "success", "20200103": "success"} and got["stk_limit"]["20200103"] == "failed" and len(got["namechange"]) == 5
+    assert {r.ts_code for r in tables.read(spark, root, "index_daily").collect()} == {"000001.SH", "399001.SZ", "399006.SZ"}
+    assert {(r.ts_code, r.list_status) for r in tables.read(spark, root, "stock_list").collect()} == {("600711.SH", "L"), ("600712.SH", "D")}
+    again = ingest.update(spark, root, Vendor(), "20200101", "20200105")
+    assert {d: n for d, n in again.items() if n} == {"stk_limit": {"20200103": "failed"}}
+
+    class Broken(Vendor):
+        def stocks(self, list_status):
+            raise OSError("down")
+
+    with pytest.raises(OSError):
+        ingest.update(spark, root, Broken(), "20200101", "20200105")
+    assert tables.read(spark, root, "stock_list").count() == 2
+
+
+def test_a_swap_cut_off_is_taken_back(spark, tmp_path):
+    root = str(tmp_path)
+    tables.replace(spark, root, "stock_list", frame(spark, "stock_list", [{"ts_code": "600711.SH"}]))
+    (tmp_path / "stock_list").rename(tmp_path / "_old-stock_list")
+    assert tables.read(spark, root, "stock_list").count() == 1
+    assert tables.read(spark, tables.snapshot(spark, root, f"{root}/backup"), "stock_list").count() == 1
 
 
 def test_stream_of_files_is_merged(spark, tmp_path):
@@ -184,6 +235,11 @@ def test_publish_twice(spark, tmp_path):
     for n in (30, 40):
         store(n)
         paths = publish.publish(spark, root, out, wide=n == 40)
+    files = sorted(p.name for p in (tmp_path / "out/features/trends").iterdir())
+    publish.publish(spark, root, out, measures=("amount", "pe"))
+    assert sorted(p.name for p in (tmp_path / "out/features/trends").iterdir()) == files
+    with pytest.raises(checks.CheckFailed):
+        publish.publish(spark, str(tmp_path / "none"), out)
     t = spark.read.parquet(paths["features/trends"])
     assert t.count() == 80 and t.where("tr_10 is not null").count() == 2 * 31
     assert spark.read.parquet(paths["wide/close"]).columns == ["trade_date", "000001.SZ", "300001.SZ"]
