@@ -7,10 +7,11 @@ import time
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import yyyymmdd
 from . import tables
 
 log = logging.getLogger(__name__)
@@ -43,13 +44,6 @@ def trading_days(calendar: DataFrame) -> DataFrame:
     return calendar.where(F.col("is_open").cast("int") == 1).select(F.col("cal_date").cast("string").alias("logical_date")).distinct().orderBy("logical_date")
 
 
-def yyyymmdd(text: str | Column) -> Column:
-    """The date; null or blank text is null, any other text an error."""
-    c = F.col(text) if isinstance(text, str) else text
-    day = F.try_to_timestamp(c, F.lit("yyyyMMdd")).cast("date")
-    return F.when(day.isNull() & (F.trim(c) != ""), F.raise_error(F.concat(F.lit("not a YYYYMMDD date: "), c)).cast("date")).otherwise(day)
-
-
 def typed(rows: DataFrame, table: str, *more: str) -> DataFrame:
     """Columns of the table in its types; dates come as YYYYMMDD text, NaN becomes null, missing columns are null."""
     def one(f):
