@@ -52,10 +52,11 @@ def _windows(window: int, k: int):
     return run
 
 
-def bit_table(keys: DataFrame, col: str) -> np.ndarray:
-    """Bits set at the hashes in ``col`` (distinct longs); at most 16 MB, whatever their number."""
+def bit_table(keys: DataFrame, col: str, spare: int = 10) -> np.ndarray:
+    """Bits set at the hashes in ``col`` (distinct longs), about 2^``spare`` for each of them; at most 16 MB,
+    whatever their number."""
     n = max(1, keys.count())
-    bits = min(_MOST_BITS, max(16, math.ceil(math.log2(n)) + 10))
+    bits = min(_MOST_BITS, max(16, math.ceil(math.log2(n)) + spare))
     place = F.col(col).bitwiseAND((1 << bits) - 1)
     rows = keys.select(F.shiftright(place, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     table = np.zeros(1 << (bits - 6), np.uint64)
