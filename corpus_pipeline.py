@@ -11,6 +11,8 @@ through; columns of any other name are kept.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +22,34 @@ from gridloom.llm import decontam, kneser, langid, packing, partenum, store
 ORACLE_SQL = None
 
 
+def _row_id() -> Column:
+    return F.xxhash64("doc_id", store.text_key("text"))
+
+
+def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose row id is surely not among ``ids`` (one column of distinct longs), and the others,
+    by a broadcast row of bits of at most 16 MB: only the latter need a join, so whole texts stay where they are."""
+    name = store.unused(docs, "_bits")
+    table = decontam.bit_table(ids, ids.columns[0], spare=6)
+    bits = docs.sparkSession.createDataFrame(pa.table({name: pa.array([table.view(np.int64)], pa.list_(pa.int64()))}))
+    place = _row_id().bitwiseAND(len(table) * 64 - 1)
+    word = F.get(F.col(name), F.shiftright(place, 6).cast("int"))
+    hit = F.call_function("shiftright", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    d = docs.crossJoin(F.broadcast(bits))  # one row
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return d.where(~hit).select(*columns), d.where(hit).select(*columns)
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id and text key are not among ``rejected`` (doc_id, text_key)."""
+    if not rejected.take(1):
+        return docs
+    sure, open_ = _split(docs, rejected.select(F.xxhash64("doc_id", "text_key").alias("id")))
     key = store.unused(docs, "_key")
-    d = docs.withColumn(key, store.text_key("text")).alias("d")
+    d = open_.withColumn(key, store.text_key("text")).alias("d")
     r = rejected.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_of")).alias("r")
-    return d.join(r, F.col("d.doc_id").eqNullSafe(F.col("r._id")) & (F.col(f"d.{key}") == F.col("r._of")), "left_anti").select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    left = d.join(r, F.col("d.doc_id").eqNullSafe(F.col("r._id")) & (F.col(f"d.{key}") == F.col("r._of")), "left_anti")
+    return sure.unionByName(left.select(*[F.col(f"d.`{c}`") for c in docs.columns]))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -61,10 +85,6 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str, quantile: float
     return _without(docs, store.settled(bad, "rejected"))
 
 
-def _row_id() -> Column:
-    return F.xxhash64("doc_id", store.text_key("text"))
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are grouped under ids of their own (id and text), so that rows that share an id are apart."""
 
@@ -77,12 +97,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return rows.join(first, ["component_id", "salt"]).where("id <> stays").select("doc_id", "text_key").distinct()
 
     left = _without(docs, store.settled(bad, "rejected"))
-    one, rank = store.unused(left, "_one"), store.unused(left, "_rank")
-    left = left.withColumn(one, _row_id())
-    again = store.settled(lambda: left.groupBy(one).count().where("count > 1").select(F.col(one).alias("_again")), "repeated")
+    again = store.settled(lambda: docs.select(_row_id().alias("_again")).groupBy("_again").count().where("count > 1").select("_again"), "repeated")
+    if not again.take(1):
+        return left
+    sure, open_ = _split(left, again)
+    one, rank = store.unused(docs, "_one"), store.unused(docs, "_rank")
+    open_ = open_.withColumn(one, _row_id())
     order = [F.col(f"`{f.name}`") if f.dataType.typeName() not in ("map", "variant") else F.lit(0) for f in docs.schema.fields]
-    firsts = left.join(again, F.col(one) == F.col("_again"), "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(one).orderBy(*order))).where(F.col(rank) == 1)
-    return left.join(again, F.col(one) == F.col("_again"), "left_anti").select(*docs.columns).unionByName(firsts.select(*docs.columns))
+    firsts = open_.join(again, F.col(one) == F.col("_again"), "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(one).orderBy(*order))).where(F.col(rank) == 1)
+    single = open_.join(again, F.col(one) == F.col("_again"), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return sure.unionByName(single.select(*columns)).unionByName(firsts.select(*columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
