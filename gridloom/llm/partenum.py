@@ -42,7 +42,7 @@ from .components import components
 from .decontam import bit_table
 from .words import SPACED, mix, raw, sequence_hash, shingles, split
 
-ROWS = 1_200_000  # signature rows of one partition, and of one flush
+ROWS = 600_000  # signature rows of one partition, and of one flush
 BLOCK = 1024  # rows of a bucket that are compared with each other at a time
 PARTNERS = 64  # verified partners of one set in one run of rows
 _LEVELS = 64 << np.arange(9)  # bits of a sketch

@@ -116,7 +116,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def batches(spark: SparkSession, rows: int = 1000) -> None:
+def batches(spark: SparkSession, rows: int = 250) -> None:
     """Bound what one Arrow batch of whole texts holds; the session's own smaller setting stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
