@@ -35,6 +35,7 @@ def _signed(h: np.ndarray) -> np.ndarray:
 def _windows(window: int, k: int):
     schema = pa.schema([("item_id", pa.string()), ("window_id", pa.int64()), ("words", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
 
+    @store.lean
     def run(it):
         for b in it:
             w = split(b.column("text"), ALNUM)
@@ -78,6 +79,7 @@ def _found(w: Words, h: np.ndarray, sizes: list[int], table: np.ndarray) -> tupl
 
 
 def _count(sizes: list[int], table):
+    @store.lean
     def run(it):
         for b in it:
             w = split(b.column("text"), ALNUM)
@@ -93,6 +95,7 @@ _PROBED = "doc_id long, text_key long, n_words long, found array<struct<pos:int,
 def _probe(sizes: list[int], window: int, table):
     kind = pa.list_(pa.struct([("pos", pa.int32()), ("token", pa.int64()), ("lead", pa.int32()), ("near", pa.list_(pa.int64()))]))
 
+    @store.lean
     def run(it):
         for b in it:
             w = split(b.column("text"), ALNUM)

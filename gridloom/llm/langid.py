@@ -67,6 +67,7 @@ def _size() -> int:
     return len(ORDERS) << BITS
 
 
+@store.lean
 def _frequencies(it):
     df = np.zeros(_size() + 1, np.int64)
     n = 0
@@ -135,6 +136,7 @@ _FITTED = "weights binary, bias binary, temperature double"
 def _fit(langs: list[str], idf: np.ndarray, scale: float):
     """The whole sample in one task: packed weights (IDF included), bias and temperature."""
 
+    @store.lean
     def run(it):
         got = pa.Table.from_batches(list(it), schema=pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("lang", pa.string())]))
         got = got.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("lang", "ascending")]).combine_chunks()
@@ -212,6 +214,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: tuple[st
     shared = store.share(spark, model)
     d = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias(store.unused(docs, "_text")))
 
+    @store.lean
     def run(it):
         m = shared.value
         columns = [np.ascontiguousarray(m.table[:, c]) for c in range(len(m.langs))]

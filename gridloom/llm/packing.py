@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from . import store
 from .words import SPACED, raw, split
 
-_CACHED = 1 << 20
+_CACHED = 1 << 20  # pieces whose ids a worker keeps
+_RUN = 4096  # new pieces given to the tokenizer at a time
 _encoders: dict[str, "_Encoder"] = {}
 
 
@@ -53,11 +54,12 @@ class _Encoder:
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
+        store.trim()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.at = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.key, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and their places
+        self.at = np.zeros(1, np.int32)
+        self.ids = np.zeros(0, np.uint16 if len(self.last) <= 1 << 16 else np.uint32)
 
     def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for each piece. Letters alone are one word to the tokenizer, whose
@@ -73,25 +75,31 @@ class _Encoder:
         """All ids, and the n + 1 offsets of the texts in them."""
         special = b"<|" in raw(texts)[0].tobytes()  # special tokens are told apart by case
         w = split(texts, SPACED, fold=not special, cut=_CUT)
-        if len(self.slot) > _CACHED:
+        if max(len(self.key), len(self.ids) // 8) > _CACHED:
             self.clear()
         u, first, inv = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        slots = [self.slot.get(x, -1) for x in u.tolist()]
-        new = np.array([i for i, s in enumerate(slots) if s < 0], np.int64)
-        if len(new):
-            buf = w.buf.tobytes()
-            text = [buf[a:b].decode("utf-8", "replace") for a, b in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist(), strict=True)]
+        at = np.searchsorted(self.key, u)
+        have = np.zeros(len(u), bool)
+        inside = at < len(self.key)
+        have[inside] = self.key[at[inside]] == u[inside]
+        slots = np.zeros(len(u), np.int64)
+        slots[have] = self.slot[at[have]]
+        new = np.flatnonzero(~have)
+        for a in range(0, len(new), _RUN):
+            some = new[a : a + _RUN]
+            text = [w.buf[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(w.start[first[some]].tolist(), w.end[first[some]].tolist(), strict=True)]
             alpha = np.array([t.isalpha() for t in text])
             for part in (np.flatnonzero(alpha), np.flatnonzero(~alpha)):
                 if len(part):
                     ids, n = self._new([text[k] for k in part])
-                    base = len(self.at) - 1
-                    for k, i in enumerate(new[part].tolist()):
-                        slots[i] = self.slot[int(u[i])] = base + k
-                    self.ids = np.concatenate([self.ids, ids])
-                    self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
-        s = np.array(slots, np.int64)[inv] if len(u) else np.zeros(0, np.int64)
-        n = self.at[s + 1] - self.at[s]
+                    slots[some[part]] = len(self.at) - 1 + np.arange(len(part))
+                    self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+                    self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n, dtype=np.int32)])
+        if len(new):
+            self.key = np.insert(self.key, at[new], u[new])
+            self.slot = np.insert(self.slot, at[new], slots[new].astype(np.int32))
+        s = slots[inv]
+        n = (self.at[s + 1] - self.at[s]).astype(np.int64)
         end = np.zeros(len(s) + 1, np.int64)
         np.cumsum(n, out=end[1:])
         flat = self.ids[np.arange(end[-1]) + np.repeat(self.at[s] - end[:-1], n)]
@@ -99,6 +107,7 @@ class _Encoder:
 
 
 def _pieces(path: str, most: int, end_id: int):
+    @store.lean
     def run(it):
         enc = _encoders.setdefault(path, None) or _Encoder(path)
         _encoders[path] = enc
@@ -224,6 +233,7 @@ def _segments(made: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def _place(segments):
+    @store.lean
     def run(it):
         seg = segments.value
         scale = np.int64(1) << np.int64(44)

@@ -135,6 +135,7 @@ class Sketches:
 def _profile(k: int):
     """Size, identity and sketch of each set."""
 
+    @store.lean
     def run(it):
         for b in it:
             h, at = sets(b.column("text"), k)
@@ -186,6 +187,7 @@ def _packed(k: int, bands: Bands, parts: int, reps):
         rows = [i for i in range(parts) if at[i + 1] > at[i]]
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([five[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary()), pa.array([node[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary())], names=["p", "sig", "node"])
 
+    @store.lean
     def run(it):
         table = reps.value
         mask = np.uint64(len(table) * 64 - 1)
@@ -208,6 +210,7 @@ def _packed(k: int, bands: Bands, parts: int, reps):
     return run
 
 
+@store.lean
 def _buckets(it):
     """Rows (bucket, node, pivot) of signatures that two nodes or more share."""
     held: dict[int, list] = {}
@@ -284,6 +287,7 @@ def _cross(num: int, den: int, most: int):
         column = lambda v, w: pa.array(np.concatenate([v, np.zeros(len(again), np.int64)]) if w else np.concatenate([np.zeros(len(a), np.int64), v]), mask=np.concatenate([none, rest] if w else [~none, ~rest]))
         return pa.RecordBatch.from_arrays([column(a, True), column(b, True), column(again, False)], names=["a", "b", "again"])
 
+    @store.lean
     def run(it):
         held, rows = [], 0
         for b in it:
@@ -308,6 +312,7 @@ def _plausible(pairs: DataFrame, profile: DataFrame, num: int, den: int) -> Data
     p = p.join(profile.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
     p = p.where((F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
 
+    @store.lean
     def run(it):
         for b in it:
             m = b.num_rows
@@ -321,6 +326,7 @@ def _plausible(pairs: DataFrame, profile: DataFrame, num: int, den: int) -> Data
 
 
 def _sets(k: int, wanted):
+    @store.lean
     def run(it):
         table = wanted.value
         mask = np.uint64(len(table) * 64 - 1)
@@ -336,6 +342,7 @@ def _sets(k: int, wanted):
 def _verified(num: int, den: int):
     """Streams rows sorted by (a, salt); the row with null b brings a's own set."""
 
+    @store.lean
     def run(it):
         key = own = None
         for b in it:

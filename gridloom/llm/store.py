@@ -8,12 +8,15 @@ costs a re-read and not a recomputation, and nothing depends on a machine's own
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_libc = ctypes.CDLL(None)
 _written: list[tuple[SparkSession, str]] = []
 _shared: list = []
 
@@ -123,6 +126,23 @@ def batches(spark: SparkSession, rows: int = 250) -> None:
         spark.conf.set(key, rows)
 
 
+def trim() -> None:
+    """Give memory that is free but held by the allocators back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def lean(run):
+    """``run`` for ``mapInArrow``; a Python worker, which serves many tasks, holds no free memory after it."""
+
+    def trimmed(it):
+        yield from run(it)
+        trim()
+
+    return trimmed
+
+
 def text_key(text: Column | str) -> Column:
     """Identifies a text beside its document's id; equal for repeated rows."""
     c = F.col(text) if isinstance(text, str) else text
