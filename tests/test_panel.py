@@ -218,6 +218,28 @@ def test_wide_and_back(spark, monkeypatch):
     assert {tuple(r) for r in export.long(export.wide(df, "v"), "v").select("ts_code", "trade_date", "v").collect()} == set(rows)
 
 
+def test_blocks_of_columns_and_back(spark, monkeypatch):
+    rows = [("a.SZ", DAYS[0], 1.0), ("c.SZ", DAYS[0], 4.0), ("a.SZ", DAYS[1], 2.0), ("b.SZ", DAYS[1], 3.0), ("e.SZ", DAYS[1], None)]
+    df = spark.createDataFrame(rows, "ts_code string, trade_date date, v float")
+    monkeypatch.setattr(export, "PIVOT_UP_TO", 2)
+    blocks = export.blocks(df, "v")
+    known = {(c, d): v for c, d, v in rows}
+    codes = ["a.SZ", "b.SZ", "c.SZ", "e.SZ"]
+    assert sorted((r.trade_date, r.block, r.codes) for r in blocks.collect()) == [(d, i, codes[2 * i : 2 * i + 2]) for d in DAYS[:2] for i in (0, 1)]
+    assert sorted(((r.ts_code, r.trade_date), r.v) for r in export.long(blocks, "v").collect()) == sorted(((c, d), known.get((c, d))) for c in codes for d in DAYS[:2])
+
+
+def test_plan_of_wide_status_does_not_grow_with_the_codes(spark, monkeypatch):
+    from gridloom.plans import queries
+
+    monkeypatch.setattr(export, "PIVOT_UP_TO", 3)
+    got = queries.QUERIES["wide_st"](spark, "/root/testdata/sf0.001")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    rows = got.collect()
+    assert not any(r.ts_code in plan for r in rows)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, queries.st(spark, "/root/testdata/sf0.001").collect()))
+
+
 def test_slumps_do_not_overlap(spark):
     chg = [0, -1, -5, -9, -8, -1, 0, 2, -7, -7, -7, 0]
     df = frame(spark, "index_daily", [{"ts_code": "i", "trade_date": DAYS[i], "pct_chg": float(x)} for i, x in enumerate(chg)])
