@@ -89,8 +89,9 @@ def _sums(cell: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketch_bits(n: np.ndarray) -> np.ndarray:
-    """Bits of the sketch of a set of n elements: four an element, as a power of two within bounds."""
-    return _LEVELS[np.minimum(np.searchsorted(_LEVELS, 4 * n), len(_LEVELS) - 1)]
+    """Bits of the sketch of a set of n elements: two an element or more, as a power of two within bounds.
+    Unrelated sets then differ in about 0.86 n bits, sets of similarity 0.7 in 0.3 n, while 0.8 allows 0.22 n."""
+    return _LEVELS[np.minimum(np.searchsorted(_LEVELS, 2 * n), len(_LEVELS) - 1)]
 
 
 def sketches(h: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -174,18 +175,29 @@ def signatures(h: np.ndarray, n: np.ndarray, bands: Bands, shift: int) -> tuple[
     return np.concatenate([o[c] for o, c in zip(out, chosen, strict=True)]), np.concatenate([part_doc[c] for c in chosen])
 
 
+def steps(node: np.ndarray) -> bytes:
+    """Sorted ids as differences, byte plane by byte plane: the high planes are zeros, which compress to nothing."""
+    return np.diff(node.view(np.uint64), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unstepped(data: np.ndarray) -> np.ndarray:
+    """The ids of ``steps``."""
+    return np.cumsum(np.ascontiguousarray(data.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64).view(np.int64)
+
+
 def _packed(k: int, bands: Bands, parts: int, reps):
-    """Signatures of representatives in packed runs, one row for each partition and flush."""
+    """Signatures of representatives in packed runs, one row for each partition and flush: four bytes a
+    signature (by chance some 40 pairs of a partition of ROWS are equal, which the sketches tell apart)."""
 
     def flush(held):
         sig, node = (np.concatenate(x) for x in zip(*held, strict=True))
         p = (sig % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(p, kind="stable")
+        order = np.lexsort((node, p))
         sig, node = sig[order], node[order]
         at = np.searchsorted(p[order], np.arange(parts + 1))
-        five = np.ascontiguousarray((sig // np.uint64(parts)).view(np.uint8).reshape(-1, 8)[:, :5])
+        four = (sig // np.uint64(parts)).astype(np.uint32)
         rows = [i for i in range(parts) if at[i + 1] > at[i]]
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([five[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary()), pa.array([node[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary())], names=["p", "sig", "node"])
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([four[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary()), pa.array([steps(node[at[i] : at[i + 1]]) for i in rows], pa.binary())], names=["p", "sig", "node"])
 
     @store.lean
     def run(it):
@@ -216,12 +228,10 @@ def _buckets(it):
     held: dict[int, list] = {}
     for b in it:
         for p, s, d in zip(b.column("p").to_pylist(), b.column("sig"), b.column("node"), strict=True):
-            held.setdefault(p, []).append((np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 5), np.frombuffer(d.as_buffer(), np.int64)))
+            held.setdefault(p, []).append((np.frombuffer(s.as_buffer(), np.uint32), unstepped(np.frombuffer(d.as_buffer(), np.uint8))))
     for p in sorted(held):
-        five, node = (np.concatenate(x) for x in zip(*held.pop(p), strict=True))
-        sig = np.zeros((len(five), 8), np.uint8)
-        sig[:, :5] = five
-        sig = sig.view(np.int64).ravel()
+        sig, node = (np.concatenate(x) for x in zip(*held.pop(p), strict=True))
+        sig = sig.astype(np.int64)
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
         fresh = np.ones(len(sig), bool)

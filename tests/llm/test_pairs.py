@@ -137,3 +137,27 @@ def test_links_of_a_large_group_are_counted(spark):
     df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
     got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(df).collect()}
     assert got == {i: (n, 0) for i, n in enumerate(want.tolist())}
+
+
+def test_packed_runs_are_small_and_exact():
+    rng = np.random.default_rng(5)
+    spread = np.sort(np.concatenate([[-(1 << 63), -5, -5, 0, (1 << 63) - 1], rng.integers(-(1 << 62), 1 << 62, 500)]).astype(np.int64))
+    dense = np.sort(rng.integers(2_000_000, 2_004_000, 3_000))
+    for ids in (spread, dense, dense[:1], dense[:0]):
+        assert (partenum.unstepped(np.frombuffer(partenum.steps(ids), np.uint8)) == ids).all()
+    assert pa.compress(partenum.steps(dense), "lz4").size < 1.1 * len(dense)
+    n = np.array([5, 40, 1000, 3000])
+    sets = np.sort(rng.integers(0, 1 << 63, n.sum()).astype(np.uint64))
+    assert sum(map(len, partenum.sketches(sets, n))) * 8 < 4.2 * n.sum()
+    bands = partenum.Bands(80, 100, 3000)
+
+    class Reps:
+        value = np.full(1024, ~np.uint64(0))
+
+    words = [" ".join(f"w{x}" for x in rng.integers(0, 500, k)) for k in n]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(n))), pa.array(words), pa.array(range(len(n)))], names=["doc_id", "text", "place"])
+    got = pa.Table.from_batches(partenum._packed(5, bands, 3, Reps)([batch]))
+    h, at = partenum.sets(pa.array(words), 5)
+    rows = sum(len(partenum.signatures(h, np.diff(at), bands, shift)[0]) for shift in (0, 1))
+    assert sum(len(x.as_py()) for x in got["sig"]) == 4 * rows
+    assert sorted(np.concatenate([partenum.unstepped(np.frombuffer(x.as_buffer(), np.uint8)) for x in got["node"].combine_chunks()]).tolist()) == sorted(np.concatenate([partenum.signatures(h, np.diff(at), bands, shift)[1] for shift in (0, 1)]).tolist())
