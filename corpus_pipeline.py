@@ -11,8 +11,6 @@ through; columns of any other name are kept.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,23 +24,11 @@ def _row_id() -> Column:
     return F.xxhash64("doc_id", store.text_key("text"))
 
 
-def _marked(docs: DataFrame, ids: DataFrame, place: Column, mark: str) -> DataFrame:
-    """``docs`` with a column ``mark``, false where ``place`` (a long) is surely not among ``ids`` (one column of
-    distinct longs), by a broadcast row of bits of at most 16 MB."""
-    name = store.unused(docs, "_bits")
-    table = decontam.bit_table(ids, ids.columns[0], spare=6)
-    bits = docs.sparkSession.createDataFrame(pa.table({name: pa.array([table.view(np.int64)], pa.list_(pa.int64()))}))
-    at = place.bitwiseAND(len(table) * 64 - 1)
-    word = F.get(F.col(name), F.shiftright(at, 6).cast("int"))
-    hit = F.call_function("shiftright", word, at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-    return docs.crossJoin(F.broadcast(bits)).withColumn(mark, hit).drop(name)  # one row
-
-
 def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` whose row id is surely not among ``ids``, and the others: only the latter need a join,
     so whole texts stay where they are."""
     mark = store.unused(docs, "_mark")
-    d = _marked(docs, ids, _row_id(), mark)
+    d = decontam.marked(docs, ids, _row_id(), mark)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return d.where(~F.col(mark)).select(*columns), d.where(F.col(mark)).select(*columns)
 
@@ -100,7 +86,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def bad():
         number = F.col("doc_id").try_cast("long")
         shared = store.table(docs.groupBy(number.alias("id")).count().where("id is not null and count > 1").select(F.xxhash64("id").alias("id")), "shared")
-        own = _marked(docs.select("doc_id", "text"), shared, F.xxhash64(number), "_shared")
+        own = decontam.marked(docs.select("doc_id", "text"), shared, F.xxhash64(number), "_shared")
         hashed = _row_id().bitwiseOR(F.lit(-(1 << 63)))
         own = own.select("doc_id", "text", F.when(~F.col("_shared") & (number >= 0), number).otherwise(hashed).alias("id"))
         group = store.table(partenum.jaccard_groups(own.select("id", "text"), doc_id="id").select("doc_id", "component_id").distinct(), "groups").withColumnRenamed("doc_id", "id")

@@ -65,6 +65,18 @@ def bit_table(keys: DataFrame, col: str, spare: int = 10) -> np.ndarray:
     return table
 
 
+def marked(docs: DataFrame, ids: DataFrame, place: Column, mark: str) -> DataFrame:
+    """``docs`` with a column ``mark``, false where ``place`` (a long) is surely not among ``ids`` (one column of
+    distinct longs), by a broadcast row of bits of at most 16 MB."""
+    name = store.unused(docs, "_bits")
+    table = bit_table(ids, ids.columns[0], spare=6)
+    bits = docs.sparkSession.createDataFrame(pa.table({name: pa.array([table.view(np.int64)], pa.list_(pa.int64()))}))
+    at = place.bitwiseAND(len(table) * 64 - 1)
+    word = F.get(F.col(name), F.shiftright(at, 6).cast("int"))
+    hit = F.call_function("shiftright", word, at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    return docs.crossJoin(F.broadcast(bits)).withColumn(mark, hit).drop(name)  # one row
+
+
 def _found(w: Words, h: np.ndarray, sizes: list[int], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, word position and hash of the shingles whose bit is set."""
     text, mask = w.text_of(), np.uint64(len(table) * 64 - 1)

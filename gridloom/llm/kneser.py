@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import store
+from .decontam import marked
 from .langid import slabs
 from .words import mix, raw
 
@@ -218,9 +219,9 @@ def perplexities(docs: DataFrame, model: DataFrame, *, keep: tuple[str, ...] = (
 _RESULTS = ("n_bytes", "log10_prob", "perplexity", "low", "high", "kept")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: tuple[str, ...] = (), fit_rows: int = 20_000, upper: float = 0.999, lower: float = 0.0, slack: float = 1.05, deviation: float = 0.25, least: int = 100, bounds: tuple[int, ...] = (64, 512), shard_entries: int = 1_500_000) -> DataFrame:
-    """``trusted`` has the ids of trusted documents in column doc_id. At most about ``fit_rows`` of
-    their texts train the model; the quantiles ``upper`` and ``lower`` of perplexity, widened by the
+def classify(docs: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", keep: tuple[str, ...] = (), upper: float = 0.999, lower: float = 0.0, slack: float = 1.05, deviation: float = 0.25, least: int = 100, bounds: tuple[int, ...] = (64, 512), shard_entries: int = 1_500_000) -> DataFrame:
+    """``trusted`` has the ids of trusted documents in column doc_id. All of their texts train the
+    model; the quantiles ``upper`` and ``lower`` of perplexity, widened by the
     factor ``slack``, cover all of them, by language and by length (``bounds`` cut the lengths in
     bytes), the upper one also by ten to the power of ``deviation`` by the root of the length. Returns
     doc_id, lang, the kept columns (but those named as a result), n_bytes, log10_prob, perplexity, low,
@@ -229,11 +230,12 @@ def classify(docs: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", tex
     store.batches(spark)
     ids = trusted.select(F.col(doc_id).alias("doc_id")).where("doc_id is not null").distinct()
     ids = store.table(ids, "trusted")
-    share = min(1.0, fit_rows / max(1, ids.count()))
-    chosen = ids.where(F.pmod(F.xxhash64("doc_id", F.lit("trusted")), F.lit(1 << 20)) < int(share * (1 << 20)))
     more = [c for c in keep if c not in ("doc_id", "lang", *_RESULTS)]
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), *[F.col(f"`{c}`").alias(f"more{i}") for i, c in enumerate(more)], F.col(text).alias("text"))
-    model = train(d.join(chosen, "doc_id", "left_semi").select("text"))
+    likely = d.select("doc_id", "text")
+    if likely.schema["doc_id"].dataType == ids.schema["doc_id"].dataType:  # texts that are surely not trusted stay where they are
+        likely = marked(likely, ids.select(F.xxhash64("doc_id").alias("id")).distinct(), F.xxhash64("doc_id"), "likely").where("likely")
+    model = train(likely.join(ids, "doc_id", "left_semi").select("text"))
     names = tuple(d.columns[:-1])
     scored = store.settled(lambda: perplexities(d, model, keep=names, shard_entries=shard_entries).withColumn("size", sum((F.col("n_bytes") > b).cast("int") for b in bounds) + F.lit(0)), "perplexity")
     seen = scored.where("perplexity is not null").join(ids, "doc_id", "left_semi")

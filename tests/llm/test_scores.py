@@ -9,6 +9,8 @@ from math import log10
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from gridloom.llm import hmm, kneser, langid, packing
 
 SMALL = "/root/testdata/sf0.001"
@@ -149,3 +151,12 @@ def test_probabilities_against_plain_kneser_ney(spark):
     for r in out:
         b = b"\0" * 4 + new[r.doc_id].encode()
         assert r.log10_prob == pytest.approx(sum(log10(prob(b[i : i + 5])) for i in range(len(b) - 4)), abs=1e-3)
+
+
+def test_all_trusted_texts_train_the_model(spark, monkeypatch):
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("row "), "id").alias("text"), F.lit("en").alias("lang"))
+    train, seen = kneser.train, []
+    monkeypatch.setattr(kneser, "train", lambda texts: seen.append(texts.count()) or train(texts.limit(50)))
+    kneser.classify(docs, docs.select("doc_id").where("doc_id % 12 > 0"))
+    kneser.classify(docs, docs.select(F.col("doc_id").cast("int")).where("doc_id % 12 > 0"))
+    assert seen == [22_000, 22_000]
