@@ -3,8 +3,11 @@
 n-grams run over the UTF-8 bytes of the text (A-Z folded), are hashed to a fixed number of features
 and weighted by term frequency times inverse document frequency; document frequencies cover all
 rows to learn from. Weights are trained with follow-the-regularised-leader (McMahan et al., 2013)
-under an elastic-net penalty on a sample of about ``fit_rows`` labelled rows and ``fit_bytes`` bytes, a
-fifth of which is held back to fit the softmax temperature. One task fits; the driver gets the weights.
+under an elastic-net penalty on all rows to learn from: each task learns from its own, in runs of bounded
+size, and the tasks' weights are averaged feature by feature, weighted by the squared gradients seen
+(Agarwal et al., 2014), so one task gives its own weights. From ``FEW`` rows up a fifth is held back, all
+of which fit the softmax temperature. The driver gets the weights and one row of sums. The weights depend on
+how rows lie in partitions, not on which rows are read.
 
 Defined results: null text or a text without letters is ``und`` with score 0; so is every text where
 nothing could be learnt; null languages are not learnt; repeated rows count each; an empty table
@@ -94,93 +97,148 @@ def _vectors(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_langs: int, scale: float, alpha: float = 0.3, beta: float = 0.1, l1: float = 0.02, l2: float = 0.02, epochs: int = 3, seed: int = 7) -> np.ndarray:
+class Ftrl:
     """FTRL-proximal on rows (features, values, class); the last weight row is the bias."""
-    z, n = np.zeros((_size() + 1, n_langs)), np.zeros((_size() + 1, n_langs))
-    weights = lambda z, n: np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
-    rng = np.random.default_rng(seed)
-    for _ in range(epochs):
-        for r in rng.permutation(len(rows)):
-            u, x, y = rows[r]
-            u, x = np.append(u, _size()), np.append(x * scale, 1.0)
-            w = weights(z[u], n[u])
-            s = x @ w
-            p = np.exp(s - s.max())
-            p /= p.sum()
-            p[y] -= 1
-            g = x[:, None] * p
-            n2 = n[u] + g * g
-            z[u] += g - (np.sqrt(n2) - np.sqrt(n[u])) / alpha * w
-            n[u] = n2
-    return weights(z, n)
-
-
-def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """Minimises the held-back rows' negative log likelihood by golden section over log T."""
-
-    def nll(t: float) -> float:
-        s = logits / np.exp(t)
-        s = s - s.max(1, keepdims=True)
-        return float((np.log(np.exp(s).sum(1)) - s[np.arange(len(y)), y]).mean())
-
-    a, b, r = -3.0, 3.0, (5**0.5 - 1) / 2
-    for _ in range(40):
-        c, d = b - r * (b - a), a + r * (b - a)
-        a, b = (a, d) if nll(c) < nll(d) else (c, b)
-    return float(np.exp((a + b) / 2))
-
-
-_FITTED = "weights binary, bias binary, temperature double"
-
-
-def _fit(langs: list[str], idf: np.ndarray, scale: float):
-    """The whole sample in one task: packed weights (IDF included), bias and temperature."""
+
+    def __init__(self, n_langs: int, scale: float, alpha: float = 0.3, beta: float = 0.1, l1: float = 0.02, l2: float = 0.02, seed: int = 7):
+        self.z, self.n = np.zeros((_size() + 1, n_langs)), np.zeros((_size() + 1, n_langs))
+        self.scale, self.alpha, self.beta, self.l1, self.l2 = scale, alpha, beta, l1, l2
+        self.rng = np.random.default_rng(seed)
+
+    def weights(self, z: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(z) <= self.l1, 0.0, -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
+
+    def learn(self, rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 3) -> None:
+        z, n = self.z, self.n
+        for _ in range(epochs):
+            for r in self.rng.permutation(len(rows)):
+                u, x, y = rows[r]
+                u, x = np.append(u, _size()), np.append(x * self.scale, 1.0)
+                zu, nu = z[u], n[u]
+                w = self.weights(zu, nu)
+                s = x @ w
+                p = np.exp(s - s.max())
+                p /= p.sum()
+                p[y] -= 1
+                g = x[:, None] * p
+                n2 = nu + g * g
+                z[u] = zu + g - (np.sqrt(n2) - np.sqrt(nu)) / self.alpha * w
+                n[u] = n2
+
+
+_SLICES = 16
+_PART = "slice int, top binary, under binary"
+
+
+def _learn(langs: list[str], idf: np.ndarray, scale: float, run_rows: int, run_bytes: int):
+    """Each task's weights times their squared gradients, and these, in slices of features."""
+
+    @store.lean
+    def run(it):
+        place = {v: i for i, v in enumerate(langs)}
+        model, held, size = Ftrl(len(langs), scale), [], 0
+        for b in it:
+            for (u, x), v in zip(_vectors(b.column("text")), b.column("lang").to_pylist(), strict=True):
+                held.append((u, x * idf[u].astype(np.float32), place[v]))
+                size += 8 * len(u)
+                if len(held) >= run_rows or size >= run_bytes:
+                    model.learn(held)
+                    held, size = [], 0
+        if held:
+            model.learn(held)
+        if not model.n.any():
+            return
+        top = (model.weights(model.z, model.n) * model.n).astype(np.float32)
+        parts = list(zip(np.array_split(top, _SLICES), np.array_split(model.n.astype(np.float32), _SLICES), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), *[pa.array([x[i].tobytes() for x in parts], pa.binary()) for i in (0, 1)]], names=["slice", "top", "under"])
+
+    return run
+
+
+@store.lean
+def _mixed(it):
+    """Sums of the tasks' slices."""
+    sums: dict[int, list] = {}
+    for b in it:
+        for k, *x in zip(b.column("slice").to_pylist(), b.column("top"), b.column("under"), strict=True):
+            x = [np.frombuffer(v.as_buffer(), np.float32).astype(np.float64) for v in x]
+            sums[k] = [s + v for s, v in zip(sums[k], x, strict=True)] if k in sums else x
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), *[pa.array([x[i].tobytes() for x in sums.values()], pa.binary()) for i in (0, 1)]], names=["slice", "top", "under"])
+
+
+#: Logarithms of the temperatures that are tried.
+_HEATS = np.linspace(-3, 3, 121)
+
+
+def _losses(shared):
+    """Each task's sum of negative log likelihoods of its held-back rows, at every temperature."""
 
     @store.lean
     def run(it):
-        got = pa.Table.from_batches(list(it), schema=pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("lang", pa.string())]))
-        got = got.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("lang", "ascending")]).combine_chunks()
-        y = np.array([langs.index(v) for v in got.column("lang").to_pylist()], np.int64)
-        rows = [(u, x * idf[u].astype(np.float32), k) for (u, x), k in zip(_vectors(got.column("text")), y.tolist(), strict=True)]
-        back = np.arange(len(rows)) % 5 == 4
-        w = _ftrl([r for r, b in zip(rows, back, strict=True) if not b], len(langs), scale)
-        held = [r for r, b in zip(rows, back, strict=True) if b]
-        logits = np.array([(x * scale) @ w[u] + w[-1] for u, x, _ in held]).reshape(len(held), len(langs))
-        t = _temperature(logits, y[back]) if len(held) else 1.0
-        table = (w[:-1] * idf[:, None] * scale).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary()), pa.array([w[-1].tobytes()], pa.binary()), pa.array([t])], names=["weights", "bias", "temperature"])
+        m = shared.value
+        place, total = {v: i for i, v in enumerate(m.langs)}, np.zeros(len(_HEATS))
+        for b in it:
+            logits = _logits(m, b.column("text"))
+            y = np.array([place[v] for v in b.column("lang").to_pylist()], np.int64)
+            for i, t in enumerate(_HEATS):
+                s = logits / np.exp(t)
+                s = s - s.max(1, keepdims=True)
+                total[i] += float((np.log(np.exp(s).sum(1)) - s[np.arange(len(y)), y]).sum())
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(_HEATS)), pa.int32()), pa.array(total)], names=["i", "loss"])
 
     return run
 
 
-def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = 4000, fit_bytes: int = 24 << 20, longest: int = 1 << 20) -> Model:
-    """Learn from rows where ``learn`` holds and text and language are not null. The languages share
-    ``fit_rows`` and ``fit_bytes`` alike; texts of more than ``longest`` bytes are not in the sample, but
-    count for the document frequencies, which cover all rows."""
-    store.batches(docs.sparkSession)
+def _coolest(loss: np.ndarray) -> float:
+    """The temperature of the least loss, by a parabola through the least and its neighbours."""
+    i = int(loss.argmin())
+    step = 0.0
+    if 0 < i < len(loss) - 1:
+        bend = loss[i - 1] - 2 * loss[i] + loss[i + 1]
+        step = 0.5 * (loss[i - 1] - loss[i + 1]) / bend if bend > 0 else 0.0
+    return float(np.exp(_HEATS[i] + step * (_HEATS[1] - _HEATS[0])))
+
+
+FEW = 50
+
+
+def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", task_rows: int = 10_000, run_rows: int = 4000, run_bytes: int = 48 << 20) -> Model:
+    """Learn from all rows where ``learn`` holds and text and language are not null. Partitions are put
+    together, without a shuffle, to about ``task_rows`` rows a task; a task goes over its rows in runs of
+    ``run_rows`` rows and ``run_bytes`` bytes of vectors."""
+    spark = docs.sparkSession
+    store.batches(spark)
     d = docs.where(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    size = F.octet_length("text")
-    sizes = {r["lang"]: (r["n"], r["bytes"] or 0) for r in d.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.when(size <= longest, size)).alias("bytes")).collect()}
-    langs = sorted(sizes)
+    sizes = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    langs, total = sorted(sizes), sum(sizes.values())
     none = Model([], np.zeros((_size() + 1, 0)), np.zeros(0), 1.0)
     if not langs:
         return none
-    shares = {k: min(1.0, fit_rows / len(langs) / n, fit_bytes / len(langs) / max(1, b)) for k, (n, b) in sizes.items()}
-    share = F.element_at(F.create_map(*[F.lit(v) for kv in shares.items() for v in kv]), F.col("lang"))
-    chosen = d.where((size <= longest) & ((F.pmod(F.xxhash64("doc_id", "text", F.lit("fit")), F.lit(1 << 20)) / (1 << 20)) < share)).limit(2 * fit_rows)
     df = np.zeros(_size() + 1)
     counts = d.select("text").mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     df[counts.column("feature").to_numpy()] = counts.column("n").to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    got = chosen.repartition(1).mapInArrow(_fit(langs, idf, 30.0), _FITTED).first()
-    if got is None:
+    back = (F.pmod(F.xxhash64("doc_id", "text", F.lit("back")), F.lit(5)) == 4) if total >= FEW else F.lit(False)
+    scale = 30.0
+    own = d.where(~back).select("text", "lang").coalesce(max(1, total // task_rows))
+    got = own.mapInArrow(_learn(langs, idf, scale, run_rows, run_bytes), _PART).repartition(_SLICES, "slice").mapInArrow(_mixed, _PART).toArrow().sort_by("slice")
+    if not got.num_rows:
         return none
+    top, under = (np.concatenate([np.frombuffer(v.as_buffer(), np.float64) for v in got.column(c)]).reshape(-1, len(langs)) for c in ("top", "under"))
+    w = np.divide(top, under, out=np.zeros_like(top), where=under > 0)
     table = np.zeros((_size() + 1, len(langs)), np.float32)
-    table[:-1] = np.frombuffer(got["weights"], np.float32).reshape(-1, len(langs))
-    return Model(langs, table, np.frombuffer(got["bias"], np.float64).copy(), got["temperature"])
-
-
-def probabilities(model: Model, texts: pa.Array) -> np.ndarray:
+    table[:-1] = w[:-1] * idf[:, None] * scale
+    model = Model(langs, table, w[-1].copy(), 1.0)
+    if total >= FEW:
+        shared = store.share(spark, model)
+        losses = d.where(back).select("text", "lang").mapInArrow(_losses(shared), "i int, loss double").groupBy("i").agg(F.sum("loss").alias("loss")).orderBy("i").toArrow()
+        store.unshare(shared)
+        if losses.num_rows:
+            model.temperature = _coolest(losses.column("loss").to_numpy())
+    return model
+
+
+def _logits(model: Model, texts: pa.Array) -> np.ndarray:
     buf, off = raw(texts)
     n = len(off) - 1
     total = np.zeros((n, len(model.langs)))
@@ -193,7 +251,11 @@ def probabilities(model: Model, texts: pa.Array) -> np.ndarray:
                 total[own, c] += np.add.reduceat(model.table[:, c][g].astype(np.float64), off[own] - off[i])
     size = np.diff(off)
     n_grams = sum(np.maximum(0, size - k + 1) for k in ORDERS)
-    s = (total / np.maximum(1, n_grams)[:, None] + model.bias) / model.temperature
+    return total / np.maximum(1, n_grams)[:, None] + model.bias
+
+
+def probabilities(model: Model, texts: pa.Array) -> np.ndarray:
+    s = _logits(model, texts) / model.temperature
     s = np.exp(s - s.max(1, keepdims=True))
     return s / s.sum(1, keepdims=True)
 

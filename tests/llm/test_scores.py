@@ -7,6 +7,7 @@ from itertools import product
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -160,3 +161,31 @@ def test_all_trusted_texts_train_the_model(spark, monkeypatch):
     kneser.classify(docs, docs.select("doc_id").where("doc_id % 12 > 0"))
     kneser.classify(docs, docs.select(F.col("doc_id").cast("int")).where("doc_id % 12 > 0"))
     assert seen == [22_000, 22_000]
+
+
+def test_every_row_is_learnt_from(spark):
+    long = [(1, "zuqa weno xyqo " * 90_000, "xx")]
+    short = [(i, f"the house number {i} by the river", "en") for i in range(2, 20)] + [(i, f"das haus nummer {i} am fluss", "de") for i in range(20, 40)]
+    docs = spark.createDataFrame(long + short, "doc_id long, text string, lang string")
+    new = spark.createDataFrame([(100, "weno xyqo zuqa", "xx"), (101, "the number of a house", "en"), (102, "das haus am fluss", "de")], docs.schema)
+    for parts, more in ((1, {}), (3, {"task_rows": 1, "run_rows": 7})):
+        model = langid.fit(docs.repartition(parts, "doc_id"), F.lit(True), **more)
+        assert all(r.lang_pred == r.lang for r in langid.predict(new, model, keep=("doc_id", "lang")).collect())
+
+
+def test_runs_and_slices_of_the_fit():
+    words = ["ab cd", "xyz uvw", "abc abc", "only here"]
+    batch = lambda t: pa.RecordBatch.from_arrays([pa.array(t), pa.array(["de" if "x" in x else "en" for x in t])], names=["text", "lang"])
+    idf = np.ones(langid._size())
+    both = [b for texts in (words, words[:3]) for b in langid._learn(["de", "en"], idf, 30.0, 2, 1 << 20)([batch(texts)])]
+    total = next(iter(langid._mixed(both)))
+    under = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in total["under"]]).reshape(-1, 2)
+    alone = [np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in b["under"]]).reshape(-1, 2) for b in both]
+    assert under.shape == (langid._size() + 1, 2) and np.allclose(under, alone[0].astype(float) + alone[1])
+    last, _ = langid._vectors(pa.array(words[3:]))[0]
+    assert (under[last] > 0).all()
+
+
+def test_temperature_is_where_the_loss_is_least():
+    assert abs(langid._coolest((langid._HEATS - 0.4321) ** 2) - np.exp(0.4321)) < 1e-6
+    assert langid._coolest(langid._HEATS) == np.exp(-3)
