@@ -232,10 +232,13 @@ def classify(docs: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", tex
     ids = store.table(ids, "trusted")
     more = [c for c in keep if c not in ("doc_id", "lang", *_RESULTS)]
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), *[F.col(f"`{c}`").alias(f"more{i}") for i, c in enumerate(more)], F.col(text).alias("text"))
-    likely = d.select("doc_id", "text")
-    if likely.schema["doc_id"].dataType == ids.schema["doc_id"].dataType:  # texts that are surely not trusted stay where they are
-        likely = marked(likely, ids.select(F.xxhash64("doc_id").alias("id")).distinct(), F.xxhash64("doc_id"), "likely").where("likely")
-    model = train(likely.join(ids, "doc_id", "left_semi").select("text"))
+    texts = d.select("doc_id", "text")
+    if texts.schema["doc_id"].dataType == ids.schema["doc_id"].dataType:
+        # texts that are surely not trusted stay where they are; a semi-join would be moved below the mark
+        likely = marked(texts, ids.select(F.xxhash64("doc_id").alias("id")).distinct(), F.xxhash64("doc_id"), "likely").where("likely")
+        model = train(likely.join(ids, "doc_id").select("text"))
+    else:
+        model = train(texts.join(ids, "doc_id", "left_semi").select("text"))
     names = tuple(d.columns[:-1])
     scored = store.settled(lambda: perplexities(d, model, keep=names, shard_entries=shard_entries).withColumn("size", sum((F.col("n_bytes") > b).cast("int") for b in bounds) + F.lit(0)), "perplexity")
     seen = scored.where("perplexity is not null").join(ids, "doc_id", "left_semi")

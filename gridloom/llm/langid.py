@@ -138,9 +138,13 @@ def _learn(langs: list[str], idf: np.ndarray, scale: float, run_rows: int, run_b
         place = {v: i for i, v in enumerate(langs)}
         model, held, size = Ftrl(len(langs), scale), [], 0
         for b in it:
-            for (u, x), v in zip(_vectors(b.column("text")), b.column("lang").to_pylist(), strict=True):
-                held.append((u, x * idf[u].astype(np.float32), place[v]))
-                size += 8 * len(u)
+            rows = _vectors(b.column("text"))
+            cut = np.cumsum([len(u) for u, _ in rows], dtype=np.int64)
+            u, x = (np.concatenate(v) for v in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int32), np.zeros(0, np.float32))
+            x *= idf[u].astype(np.float32)
+            for i, j, v in zip((cut - np.array([len(f) for f, _ in rows], np.int64)).tolist(), cut.tolist(), b.column("lang").to_pylist(), strict=True):
+                held.append((u[i:j], x[i:j], place[v]))  # views of one block a batch
+                size += 8 * (j - i)
                 if len(held) >= run_rows or size >= run_bytes:
                     model.learn(held)
                     held, size = [], 0
@@ -202,7 +206,7 @@ def _coolest(loss: np.ndarray) -> float:
 FEW = 50
 
 
-def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", task_rows: int = 10_000, run_rows: int = 4000, run_bytes: int = 48 << 20) -> Model:
+def fit(docs: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", task_rows: int = 10_000, run_rows: int = 4000, run_bytes: int = 24 << 20) -> Model:
     """Learn from all rows where ``learn`` holds and text and language are not null. Partitions are put
     together, without a shuffle, to about ``task_rows`` rows a task; a task goes over its rows in runs of
     ``run_rows`` rows and ``run_bytes`` bytes of vectors."""
