@@ -189,3 +189,11 @@ def test_runs_and_slices_of_the_fit():
 def test_temperature_is_where_the_loss_is_least():
     assert abs(langid._coolest((langid._HEATS - 0.4321) ** 2) - np.exp(0.4321)) < 1e-6
     assert langid._coolest(langid._HEATS) == np.exp(-3)
+
+
+def test_trusted_texts_are_exact(spark):
+    docs = spark.range(30_000).select(F.when(F.col("id") % 1000 > 0, F.col("id")).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    ids = spark.range(0, 60_000, 3).withColumnRenamed("id", "doc_id")
+    got = [r.text for r in kneser._trusted(docs.union(docs.where("doc_id % 9 = 0")), ids).collect()]
+    want = [str(i) for i in range(0, 30_000, 3) if i % 1000] + [str(i) for i in range(0, 30_000, 9) if i % 1000]
+    assert sorted(got) == sorted(want)
